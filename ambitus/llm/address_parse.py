@@ -47,7 +47,7 @@ ORDINAL_OF = {w: f"{i}{'st' if i == 1 else 'nd' if i == 2 else 'rd' if i == 3 el
 ROUTE_OF = {tuple(alias.split()): full for full, s in ROUTES.items() for alias in (s.split("|") if "|" in s else s.split())}
 
 _SPLIT = re.compile(r"\s*[,;|\n\t]+\s*|\s+[-–—]+\s+")
-_TOKEN = re.compile(r"#\s*\w+|\w+(?:['’]\w+)*")
+TOKEN = re.compile(r"#\s*\w+|\w+(?:['’]\w+)*")
 _DOTTED = re.compile(r"\b([nsew])\.\s?([nsew]?)\.?(?=\W|$)")
 _KEEP_LATIN = {"ß": "ss", "æ": "ae", "ø": "o", "đ": "d", "ł": "l", "œ": "oe"}
 
@@ -132,7 +132,7 @@ def parse(text: str | None, gaz: Gazetteer, town: str | None = None, region: str
     if s in MISSING:
         return out
     s = _DOTTED.sub(lambda m: m[1] + m[2] + " ", s)
-    segments = [[t.replace(" ", "") for t in _TOKEN.findall(x)] for x in _SPLIT.split(s)]
+    segments = [[t.replace(" ", "") for t in TOKEN.findall(x)] for x in _SPLIT.split(s)]
     segments = [_without_units(x) for x in segments if x]
     segments = [x for x in segments if x]
     _take_place(segments, gaz, out)
@@ -213,7 +213,7 @@ def _take_place(segments: list[list[str]], gaz: Gazetteer, out: Address) -> None
 def _from_columns(out: Address, gaz: Gazetteer, town: str | None, region: str | None, zip: str | None) -> None:
     town, region, zip = (fold(x or "").strip() for x in (town, region, zip))
     if not out.town and town not in MISSING:
-        town = " ".join(_TOKEN.findall(town))
+        town = " ".join(TOKEN.findall(town))
         out.town = town if town in gaz.towns else gaz.near(town) or ""
     if not out.region and region not in MISSING:
         out.region = gaz.regions.get(region, "")

@@ -9,7 +9,26 @@ from pyspark.sql import functions as F
 
 from ambitus.session import read
 
-from . import canonical, leakage, lookalike, mixing
+from . import addresses, canonical, leakage, lookalike, mixing
+
+
+def address_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, text, town, region, zip) of the address records of the three tables."""
+    none = F.lit(None).cast("string")
+    master, official = (read(spark, sf_dir, t).select(F.col("record_id").alias("id"), F.col("formattedAddress").alias("text"), none.alias("town"), none.alias("region"), none.alias("zip")) for t in ("gyms_master", "official_brand_records"))
+    shots = read(spark, sf_dir, "gym_screenshots").select(F.col("record_id").alias("id"), F.col("address").alias("text"), F.col("city").alias("town"), F.col("state").alias("region"), "zip")
+    return master.unionByName(official).unionByName(shots)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records with the same address."""
+    keys = addresses.address_keys(address_records(spark, sf_dir))
+    return addresses.same_address_pairs(keys).select(F.col("id_a").alias("record_id_a"), F.col("id_b").alias("record_id_b"))
+
+
+def p1_address_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record's address key."""
+    return addresses.address_keys(address_records(spark, sf_dir)).select(F.col("id").alias("record_id"), "address_key")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +83,7 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p6_found": p6_found, "p6_misses": p6_misses, "p7_found": p7_found, "p7_leaked_items": p7_leaked_items, "p7_clean_documents": p7_clean_documents,
+    "p1_found": p1_found, "p1_address_keys": p1_address_keys, "p6_found": p6_found, "p6_misses": p6_misses, "p7_found": p7_found, "p7_leaked_items": p7_leaked_items, "p7_clean_documents": p7_clean_documents,
     "p8_mix_rows": p8_mix_rows, "p8_mix_shares": p8_mix_shares, "p9_found": p9_found, "p9_classes": p9_classes,
 }
 
