@@ -22,20 +22,23 @@ MAX_RADII = 1000
 
 
 def points_near_points(
-    points: DataFrame, targets: DataFrame, point_id: str, target_id: str, radius: str, lat: str = "latitude", lon: str = "longitude", refine: int = 2
+    points: DataFrame, targets: DataFrame, point_id: str, target_id: str, radius: str, lat: str = "latitude", lon: str = "longitude", refine: int = 2, by: str | None = None
 ) -> DataFrame:
     """Pairs (point_id, target_id) whose great-circle distance is at most the target's own ``radius`` (miles).
 
+    by: a column of both sides that must be equal as well; it becomes a second join key (rows where it is null pair with none).
+
     points: point_id, lat, lon; targets: target_id, lat, lon, radius; other columns are ignored, whatever their names.
     A position that is null, 0/0, NaN or out of range belongs to no pair, nor does a target with a null or negative radius.
     Repeated rows give one pair; an id with several positions gives a pair if any of them is near.  An empty side gives no
     rows.  A crowded cell makes a large shuffle partition, which adaptive execution splits: nothing is grouped into one task.
     """
     clean = geo.is_position(lat, lon)
-    a = points.where(clean).select(F.col(point_id).alias("_p"), F.col(lat).cast("double").alias("_plat"), F.col(lon).cast("double").alias("_plon")).distinct()
+    also = F.col(by).cast("string") if by else F.lit("")
+    a = points.where(clean).select(F.col(point_id).alias("_p"), also.alias("_by"), F.col(lat).cast("double").alias("_plat"), F.col(lon).cast("double").alias("_plon")).distinct()
     b = (
         targets.where(clean & (F.col(radius) >= 0))
-        .select(F.col(target_id).alias("_t"), F.col(lat).cast("double").alias("_tlat"), F.col(lon).cast("double").alias("_tlon"), F.col(radius).cast("double").alias("_r"))
+        .select(F.col(target_id).alias("_t"), also.alias("_by"), F.col(lat).cast("double").alias("_tlat"), F.col(lon).cast("double").alias("_tlon"), F.col(radius).cast("double").alias("_r"))
         .distinct()
     )
     radii = [r[0] for r in targets.select(F.col(radius).cast("double")).where(F.col(radius) >= 0).distinct().limit(MAX_RADII + 1).collect()]
@@ -43,10 +46,10 @@ def points_near_points(
         raise ValueError(f"more than {MAX_RADII} distinct radii: round them first")
     levels = sorted({x for r in radii for x in range(geo.radius_levels(r, refine)[0], geo.radius_levels(r, refine)[1] + 1)})
     types = {f.name: f.dataType for f in a.schema.fields} | {f.name: f.dataType for f in b.schema.fields}
-    held = a.mapInPandas(_point_cells(levels), T.StructType([T.StructField("_cell", T.LongType())] + [T.StructField(c, types[c]) for c in ("_p", "_plat", "_plon")]))
-    covers = b.mapInPandas(_covers(refine), T.StructType([T.StructField("_cell", T.LongType()), T.StructField("_inside", T.BooleanType())] + [T.StructField(c, types[c]) for c in ("_t", "_tlat", "_tlon", "_r")]))
+    held = a.mapInPandas(_point_cells(levels), T.StructType([T.StructField("_cell", T.LongType())] + [T.StructField(c, types[c]) for c in ("_p", "_by", "_plat", "_plon")]))
+    covers = b.mapInPandas(_covers(refine), T.StructType([T.StructField("_cell", T.LongType()), T.StructField("_inside", T.BooleanType())] + [T.StructField(c, types[c]) for c in ("_t", "_by", "_tlat", "_tlon", "_r")]))
     near = F.col("_inside") | (geo.haversine("_plat", "_plon", "_tlat", "_tlon") <= F.col("_r"))
-    pairs = held.join(covers, "_cell").where(near).select(F.col("_p").alias(point_id), F.col("_t").alias(target_id))
+    pairs = held.join(covers if by else covers.drop("_by"), ["_cell", "_by"] if by else "_cell").where(near).select(F.col("_p").alias(point_id), F.col("_t").alias(target_id))
     return pairs.distinct()
 
 
