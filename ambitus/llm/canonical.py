@@ -48,7 +48,7 @@ def reference_slices(reference: DataFrame, ref_id: str, ref_text: str, used: Dat
 
 
 def _look_up(shared):
-    @F.pandas_udf("entry long, cost double")
+    @F.pandas_udf("entry long, cost double, short boolean, family string")
     def look_up(values: pd.Series) -> pd.DataFrame:
         index = shared.value
         memo = index.memo
@@ -57,23 +57,24 @@ def _look_up(shared):
             if v not in memo:
                 if len(memo) >= _MEMO_LIMIT:
                     memo.clear()
-                memo[v] = index.match(v)
+                entry, cost, short = index.explain(v)
+                memo[v] = (entry, cost, short, index.heads.get(entry))
             out.append(memo[v])
-        return pd.DataFrame(out, columns=["entry", "cost"]).astype({"entry": "int64", "cost": "float64"})
+        return pd.DataFrame(out, columns=["entry", "cost", "short", "family"]).astype({"entry": "int64", "cost": "float64", "short": "bool", "family": "object"})
 
     return look_up
 
 
 def nearest_entry(typed: Column, indexes: list[ReferenceIndex], spark) -> Column:
-    """struct<entry: long, cost: double> for a typed text: the entry meant and its weighted distance, or entry 0 if none is.
+    """struct<entry: long, cost: double, short: boolean, family: string> for a typed text: the entry meant and its weighted
+    distance, or entry 0 if none is; short if only the head of a family of entries is named, family that head.
 
     Null and missing values give 0.  Values repeat, so each Python worker keeps what it has looked up."""
     columns = [_look_up(spark.sparkContext.broadcast(index))(typed) for index in indexes]
     if len(columns) == 1:
         return columns[0]
-    ranked = [F.struct(c["cost"].alias("cost"), c["entry"].alias("entry")) for c in columns]
-    best = F.least(*ranked)
-    return F.struct(best["entry"].alias("entry"), best["cost"].alias("cost"))
+    best = F.least(*[F.struct(*[c[f].alias(f) for f in ("cost", "entry", "short", "family")]) for c in columns])
+    return F.struct(*[best[f].alias(f) for f in ("entry", "cost", "short", "family")])
 
 
 def map_to_reference(values: DataFrame, key: str, value: str, reference: DataFrame, ref_id: str, ref_text: str, fallback: str | None = None, max_edits: int = 2) -> DataFrame:

@@ -172,12 +172,16 @@ class ReferenceIndex:
         return entry
 
     def match(self, value: str | None) -> tuple[int, float]:
-        """(entry id, cost), or (0, inf) if no entry is meant.
+        """(entry id, cost), or (0, inf) if no entry is meant."""
+        return self.explain(value)[:2]
+
+    def explain(self, value: str | None) -> tuple[int, float, bool]:
+        """(entry id, cost, short): short if the value is no more than the head that a family of entries shares.
 
         The words of the value up to its first separator are tried as a whole, then without words at the end (a town, a
         company form), then as a head followed by common words; less cost wins, then more words, then more use."""
         if is_missing(value):
-            return 0, float("inf")
+            return 0, float("inf"), False
         s = unicodedata.normalize("NFKC", value).strip()
         parts = [p for p in _CUT.split(s) if p and p.strip()]
         best = None
@@ -197,15 +201,15 @@ class ReferenceIndex:
                 best = found
             if best:
                 break
-        return (best[1], best[0][0]) if best else (0, float("inf"))
+        return (best[1], best[0][0], best[2]) if best else (0, float("inf"), False)
 
-    def _match_words(self, ws: list[str]) -> tuple[tuple, int] | None:
+    def _match_words(self, ws: list[str]) -> tuple[tuple, int, bool] | None:
         best = None
         for n in range(len(ws), 0, -1):  # costs nothing, so nothing can be better
             k = self.exact.get("".join(ws[:n]))
             if k is not None:
                 e = self._settle(k, ws[n:])
-                return (0.0, -n, -self.used.get(e, 0), e), e
+                return (0.0, -n, -self.used.get(e, 0), e), e, False
         for n in range(len(ws), 0, -1):
             text, rest = "".join(ws[:n]), ws[n:]
             kinds = ("whole", "head", "initials") if n == 1 else ("whole", "head")
@@ -221,7 +225,7 @@ class ReferenceIndex:
                     e = self._settle(k, rest)
                     key = (round(cost + more, 3), -n, -self.used.get(e, 0), e)
                     if best is None or key < best[0]:
-                        best = (key, e)
+                        best = (key, e, kind == "head" and e == k and not (rest and self._follows_head(k, rest)))
         return best
 
     def _follows_head(self, entry: int, rest: list[str]) -> bool:

@@ -7,9 +7,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ambitus.session import read
+from ambitus.session import cut, read
 
-from . import addresses, canonical, leakage, lookalike, mixing
+from . import addresses, canonical, leakage, linkage, lookalike, mixing
 
 
 def address_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,43 @@ def p1_address_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.address_keys(address_records(spark, sf_dir)).select(F.col("id").alias("record_id"), "address_key")
 
 
+def gym_records(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = ("master", "official", "shots")) -> DataFrame:
+    """(id, src, brand, name, lat, lon, ext_key, hint) of the gym records of the tables named."""
+    none = F.lit(None).cast("string")
+    nowhere = F.lit(None).cast("double")
+    each = {
+        "master": read(spark, sf_dir, "gyms_master").select(F.col("record_id").alias("id"), F.lit("master").alias("src"), F.col("query").alias("brand"), "name", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("placeId").alias("ext_key"), none.alias("hint")),
+        "official": read(spark, sf_dir, "official_brand_records").select(F.col("record_id").alias("id"), F.lit("official").alias("src"), "brand", "name", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), none.alias("ext_key"), F.lower("sourceUrl").alias("hint")),
+        "shots": read(spark, sf_dir, "gym_screenshots").select(F.col("record_id").alias("id"), F.lit("shots").alias("src"), "brand", F.col("location_name").alias("name"), nowhere.alias("lat"), nowhere.alias("lon"), none.alias("ext_key"), none.alias("hint")),
+    }
+    out = each[tables[0]]
+    for t in tables[1:]:
+        out = out.unionByName(each[t])
+    return out
+
+
+def _described(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    brands = read(spark, sf_dir, "brand_list")
+    used = canonical.usage(read(spark, sf_dir, "gyms_master"), "query", brands, "brand_id", "brand")
+    described = cut(linkage.describe(gym_records(spark, sf_dir, tables), brands, "brand_id", "brand", canonical.reference_slices(brands, "brand_id", "brand", used)))
+    keys = cut(addresses.address_keys(address_records(spark, sf_dir)))
+    return described, keys, linkage.link(described, keys)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records of different tables that are the same gym."""
+    described, keys, links = _described(spark, sf_dir, ("master", "official", "shots"))
+    return linkage.linked_pairs(described, keys, links).select(F.col("id_a").alias("record_id_a"), F.col("id_b").alias("record_id_b"))
+
+
+def p2_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directly linked pairs of records of different tables, with the confidence of the label model."""
+    described, _, links = _described(spark, sf_dir, ("master", "official", "shots"))
+    src = described.select("id", "src").distinct()
+    a, b = (src.select(F.col("id").alias(f"id{x}"), F.col("src").alias(f"src{x}")) for x in "ab")
+    return links.join(a, "ida").join(b, "idb").where("srca <> srcb").select(F.col("ida").alias("record_id_a"), F.col("idb").alias("record_id_b"), F.round("confidence", 6).alias("confidence"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose query is no brand as written, with the brand meant, or 0."""
     out = canonical.map_to_reference(read(spark, sf_dir, "gyms_master"), "record_id", "query", read(spark, sf_dir, "brand_list"), "brand_id", "brand", fallback="name")
@@ -83,7 +120,7 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_address_keys": p1_address_keys, "p6_found": p6_found, "p6_misses": p6_misses, "p7_found": p7_found, "p7_leaked_items": p7_leaked_items, "p7_clean_documents": p7_clean_documents,
+    "p1_found": p1_found, "p1_address_keys": p1_address_keys, "p2_found": p2_found, "p2_links": p2_links, "p6_found": p6_found, "p6_misses": p6_misses, "p7_found": p7_found, "p7_leaked_items": p7_leaked_items, "p7_clean_documents": p7_clean_documents,
     "p8_mix_rows": p8_mix_rows, "p8_mix_shares": p8_mix_shares, "p9_found": p9_found, "p9_classes": p9_classes,
 }
 
