@@ -176,7 +176,7 @@ class ReferenceIndex:
         return self.explain(value)[:2]
 
     def explain(self, value: str | None) -> tuple[int, float, bool]:
-        """(entry id, cost, short): short if the value is no more than the head that a family of entries shares.
+        """(entry id, cost, short): short if the value is no more than the head that several entries share.
 
         The words of the value up to its first separator are tried as a whole, then without words at the end (a town, a
         company form), then as a head followed by common words; less cost wins, then more words, then more use."""
@@ -225,7 +225,7 @@ class ReferenceIndex:
                     e = self._settle(k, rest)
                     key = (round(cost + more, 3), -n, -self.used.get(e, 0), e)
                     if best is None or key < best[0]:
-                        best = (key, e, kind == "head" and e == k and not (rest and self._follows_head(k, rest)))
+                        best = (key, e, kind == "head" and e == k and len(self.family[self.heads[k]]) > 1 and not (rest and self._follows_head(k, rest)))
         return best
 
     def _follows_head(self, entry: int, rest: list[str]) -> bool:

@@ -71,8 +71,9 @@ def describe(records: DataFrame, reference: DataFrame, ref_id: str, ref_text: st
     # looked up only where needed: a null costs nothing
     r = r.withColumn("_t", F.when(known, F.lit(None)).when(missing(F.col("brand")), F.col("name")).otherwise(F.col("brand")))
     r = r.withColumn("_h", nearest_entry(F.coalesce(F.when(known, F.col("brand")), F.col("_t")), indexes, spark))
-    r = r.withColumn("_h2", nearest_entry(F.when((F.col("_h.entry") == 0) & ~missing(F.col("brand")), F.col("name")), indexes, spark))
-    r = r.withColumn("_h", F.when(F.col("_h.entry") > 0, F.col("_h")).otherwise(F.col("_h2"))).drop("_h2", "_t", "_e")
+    r = r.withColumn("_h2", nearest_entry(F.when(((F.col("_h.entry") == 0) | F.col("_h.short")) & ~missing(F.col("brand")), F.col("name")), indexes, spark))
+    better = (F.col("_h.entry") == 0) | (F.col("_h.short") & (F.col("_h2.entry") > 0) & (F.col("_h2.family") == F.col("_h.family")) & ~F.col("_h2.short"))
+    r = r.withColumn("_h", F.when(better, F.col("_h2")).otherwise(F.col("_h"))).drop("_h2", "_t", "_e")
     listed = F.col("_h.entry") > 0
     r = r.withColumn("_u", _unlisted(F.when(listed, F.lit(None)).when(missing(F.col("name")) | (F.col("src") == "shots"), F.col("brand")).otherwise(F.col("name")), F.when(~listed, F.col("brand"))))
     names = ref.groupBy(F.col("_e").alias("_e2")).agg(F.min("_text").alias("_brand"))
@@ -124,12 +125,13 @@ def vote(pairs: DataFrame) -> DataFrame:
 def candidates(d: DataFrame) -> DataFrame:
     """Pairs (ida, idb) worth a vote.  d: described records with address_key, number, town.
 
-    Records of different tables of one family and address; of one family and within NEAR_MILES, if one of them has no address; of
+    Records of one family and address, of different tables or with a shortened brand; of one family and within NEAR_MILES, if one of them has no address; of
     one family where a web address ends with the other's town and house number.  All are equi-joins on at least the family and a
     place, so that a brand with very many records is spread over its places."""
-    slim = d.select("id", "src", "family", "address_key", "number", "lat", "lon", "hint", F.element_at(F.split("town", " "), -1).alias("last"))
-    a, b = (slim.select(F.col("id").alias(f"id{x}"), F.col("src").alias(f"src{x}"), "family", "address_key") for x in "ab")
-    same = a.join(b, ["family", "address_key"]).where((F.col("srca") != F.col("srcb")) & (F.col("ida") < F.col("idb"))).select("ida", "idb")
+    slim = d.select("id", "src", "short", "family", "address_key", "number", "lat", "lon", "hint", F.element_at(F.split("town", " "), -1).alias("last"))
+    a, b = (slim.select(F.col("id").alias(f"id{x}"), F.col("src").alias(f"src{x}"), F.col("short").alias(f"short{x}"), "family", "address_key") for x in "ab")
+    worth = (F.col("srca") != F.col("srcb")) | F.col("shorta") | F.col("shortb")
+    same = a.join(b, ["family", "address_key"]).where(worth & (F.col("ida") < F.col("idb"))).select("ida", "idb")
     placed = slim.where(is_position("lat", "lon")).select("id", "family", "lat", "lon", "address_key", F.lit(NEAR_MILES).alias("radius"))
     near = points_near_points(placed.withColumnRenamed("id", "p"), placed.where(F.col("address_key").isNull()).withColumnRenamed("id", "t"), "p", "t", "radius", "lat", "lon", refine=0, by="family")
     near = near.where(F.col("p") != F.col("t")).select(F.least("p", "t").alias("ida"), F.greatest("p", "t").alias("idb"))

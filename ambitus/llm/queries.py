@@ -7,9 +7,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ambitus.functions.geo import is_position
 from ambitus.session import cut, read
 
-from . import addresses, canonical, leakage, linkage, lookalike, mixing
+from . import addresses, canonical, leakage, linkage, lookalike, mixing, survivor
 
 
 def address_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,35 @@ def p2_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.join(a, "ida").join(b, "idb").where("srca <> srcb").select(F.col("ida").alias("record_id_a"), F.col("idb").alias("record_id_b"), F.round("confidence", 6).alias("confidence"))
 
 
+def _gyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gyms_master with the gym each record belongs to and what a survivor is judged on."""
+    described, keys, links = _described(spark, sf_dir, ("master",))
+    gym = linkage.groups(described, keys, links)
+    m = read(spark, sf_dir, "gyms_master")
+    trust = read(spark, sf_dir, "source_types").select("sourceQueryType", "trust_rank").dropDuplicates(["sourceQueryType"])
+    present = lambda c: F.when(~canonical.missing(F.col(c)), F.col(c))
+    has_street = keys.select(F.col("id").alias("record_id"), F.lit(True).alias("has_address")).distinct()
+    out = m.join(gym.withColumnRenamed("id", "record_id"), "record_id").join(trust, "sourceQueryType", "left").join(has_street, "record_id", "left")
+    return cut(out.select(
+        "record_id", F.col("component").alias("gym"), present("name").alias("name"), F.when(F.col("has_address"), F.col("formattedAddress")).alias("formattedAddress"), present("query").alias("query"),
+        F.coalesce("has_address", F.lit(False)).alias("has_address"), (~canonical.missing(F.col("placeId"))).alias("has_place"), is_position("latitude", "longitude").alias("has_position"),
+        (F.coalesce(F.size(F.array_compact("searchNames")), F.lit(0)) > 0).alias("has_names"), "types", "gathered_at", F.col("trust_rank").cast("long").alias("trust_rank"),
+    ).distinct())
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of gyms with several records, but for the survivor, with the survivor."""
+    weight = F.lit(1.0) / (F.lit(1.0) + F.coalesce("trust_rank", F.lit(9)))
+    out = survivor.survivors(_gyms(spark, sf_dir), "gym", "record_id", ["name", "formattedAddress", "query"], ["has_place", "has_address", "has_position", "has_names"], ["types"], ["gathered_at"], ["trust_rank"], weight)
+    return out.where(F.col("record_id") != F.col("survivor")).select("record_id", F.col("survivor").alias("survivor_id")).distinct()
+
+
+def p4_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each gym's values closest to the consensus of its records."""
+    weight = F.lit(1.0) / (F.lit(1.0) + F.coalesce("trust_rank", F.lit(9)))
+    return survivor.merged(_gyms(spark, sf_dir), "gym", ["name", "formattedAddress", "query"], weight)
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose query is no brand as written, with the brand meant, or 0."""
     out = canonical.map_to_reference(read(spark, sf_dir, "gyms_master"), "record_id", "query", read(spark, sf_dir, "brand_list"), "brand_id", "brand", fallback="name")
@@ -120,7 +150,7 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_address_keys": p1_address_keys, "p2_found": p2_found, "p2_links": p2_links, "p6_found": p6_found, "p6_misses": p6_misses, "p7_found": p7_found, "p7_leaked_items": p7_leaked_items, "p7_clean_documents": p7_clean_documents,
+    "p1_found": p1_found, "p1_address_keys": p1_address_keys, "p2_found": p2_found, "p2_links": p2_links, "p4_found": p4_found, "p4_merged": p4_merged, "p6_found": p6_found, "p6_misses": p6_misses, "p7_found": p7_found, "p7_leaked_items": p7_leaked_items, "p7_clean_documents": p7_clean_documents,
     "p8_mix_rows": p8_mix_rows, "p8_mix_shares": p8_mix_shares, "p9_found": p9_found, "p9_classes": p9_classes,
 }
 
