@@ -24,6 +24,7 @@ VOWELS = set("aeiouy")
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
 _BESIDE = {frozenset((a, b)) for r in ROWS for a, b in zip(r, r[1:])} | {frozenset((a, b)) for r, t in zip(ROWS, ROWS[1:]) for i, a in enumerate(r) for b in t[max(0, i - 1) : i + 1]}
 MISSING = {"", "null", "n/a", "na", "-", "none"}
+FOUND_LIMIT = 200_000
 _CUT = re.compile(r"\s+[-–—|•·]\s+|[|(,;:]|\s+[-–—]$")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -135,6 +136,8 @@ class ReferenceIndex:
             if len(short) >= 3 and initials[short] == 1:
                 forms.add(Form(short, k, 0.3, "initials"))
         self.memo: dict = {}
+        self.found: dict = {}
+        self.longest = max((len(f.text) for f in forms), default=0)
         self.index: dict[str, list[Form]] = defaultdict(list)
         for f in sorted(forms, key=lambda f: (f.text, f.entry, f.cost)):
             for d in deletions(f.text, min(max_edits, allowed(f.text)) if f.kind != "initials" else 0):
@@ -143,7 +146,16 @@ class ReferenceIndex:
         self.exact = {"".join(ws): k for k, ws in sorted(self.words.items(), reverse=True)}
 
     def _near(self, text: str, kinds: tuple[str, ...]) -> dict[int, tuple[float, str]]:
-        """entry -> (cost, kind) of the forms within the bound."""
+        """entry -> (cost, kind) of the forms within the bound.  Values share their first words, so what was found is kept."""
+        if len(text) > self.longest + self.max_edits:
+            return {}
+        if (text, kinds) not in self.found:
+            if len(self.found) >= FOUND_LIMIT:
+                self.found.clear()
+            self.found[text, kinds] = self._search(text, kinds)
+        return self.found[text, kinds]
+
+    def _search(self, text: str, kinds: tuple[str, ...]) -> dict[int, tuple[float, str]]:
         out: dict[int, tuple[float, str]] = {}
         seen = set()
         for d in deletions(text, min(self.max_edits, allowed(text))):
