@@ -31,16 +31,18 @@ def plain_form(text: Column) -> Column:
     """The text with look-alikes, full-width forms, ligatures and blanks in their plain form and without invisible characters.
     Accents stay as they are: composed and decomposed ones are made equal by the collation."""
     m = plain_map()
+    ascii_only = F.octet_length(text) == F.length(text)  # such a text is plain already
     out = F.regexp_replace(text, INVISIBLE, "")
     out = F.translate(out, "".join(m), "".join(m.values()))
     for a, b in LIGATURES.items():
         out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+    return F.when(ascii_only, text).otherwise(out)
 
 
 def skeleton(form: Column) -> Column:
     """A digest that texts equal under the collation share: only the unaccented ASCII letters and digits of the plain form."""
-    bare = F.regexp_replace(form, r"[^\p{M}]\p{M}+|[^A-Za-z0-9]", "")
+    ascii_only = F.octet_length(form) == F.length(form)
+    bare = F.regexp_replace(F.when(ascii_only, form).otherwise(F.regexp_replace(form, r"[^\p{M}]\p{M}+", "")), "[^A-Za-z0-9]+", "")
     return F.xxhash64(bare, F.length(bare))
 
 
