@@ -87,7 +87,7 @@ def point_cells(lat: np.ndarray, lon: np.ndarray, levels: list[int]) -> np.ndarr
     return out
 
 
-def radius_levels(radius_miles: float, refine: int = 2) -> tuple[int, int]:
+def radius_levels(radius_miles: float, refine: int = 3) -> tuple[int, int]:
     """Coarsest and finest level of the coverage of a circle: from cells about as wide as the circle to ``refine`` levels below."""
     width = np.pi / 2 * EARTH_RADIUS_MILES
     coarse = int(np.clip(np.floor(np.log2(width / max(2 * radius_miles, 1e-6))), 0, MAX_LEVEL - refine))
@@ -102,7 +102,7 @@ def _corner_vectors(face: np.ndarray, level: int, i: np.ndarray, j: np.ndarray,
     return p / np.linalg.norm(p, axis=1)[:, None]
 
 
-def cover_circles(lat: np.ndarray, lon: np.ndarray, radius_miles: float, refine: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cover_circles(lat: np.ndarray, lon: np.ndarray, radius_miles: float, refine: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Adaptive coverage of circles of one radius: (index of the circle, cell id, whether the cell lies wholly inside).
 
     The cells of one circle do not overlap.  A cell that lies inside is not divided further; one that the edge of the circle

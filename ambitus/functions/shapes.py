@@ -85,7 +85,7 @@ def line_length(points: Column, radius: float = EARTH_RADIUS_FEET) -> Column:
 
 def perimeter(rings: Column) -> Column:
     """Length of all rings as they are given, holes as well."""
-    return F.aggregate(F.transform(rings, line_length), F.lit(0.0), lambda acc, x: acc + x)
+    return F.aggregate(F.transform(rings, lambda r: line_length(r)), F.lit(0.0), lambda acc, x: acc + x)
 
 
 def ring_area(ring: Column) -> Column:
@@ -105,8 +105,8 @@ def ring_area(ring: Column) -> Column:
 def polygon_area(rings: Column, subtract_holes: bool = False) -> Column:
     """Square feet of all rings; further rings count as area unless they are to be subtracted."""
     if not subtract_holes:
-        return F.aggregate(F.transform(rings, ring_area), F.lit(0.0), lambda acc, x: acc + x)
-    return F.aggregate(F.transform(rings, ring_area), F.lit(0.0), lambda acc, x: acc - x) + 2 * ring_area(rings[0])
+        return F.aggregate(F.transform(rings, lambda r: ring_area(r)), F.lit(0.0), lambda acc, x: acc + x)
+    return F.aggregate(F.transform(rings, lambda r: ring_area(r)), F.lit(0.0), lambda acc, x: acc - x) + 2 * ring_area(rings[0])
 
 
 def rectangle_sides(area: Column, around: Column) -> tuple[Column, Column]:

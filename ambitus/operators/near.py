@@ -22,7 +22,7 @@ MAX_RADII = 1000
 
 
 def points_near_points(
-    points: DataFrame, targets: DataFrame, point_id: str, target_id: str, radius: str, lat: str = "latitude", lon: str = "longitude", refine: int = 2, by: str | None = None
+    points: DataFrame, targets: DataFrame, point_id: str, target_id: str, radius: str, lat: str = "latitude", lon: str = "longitude", refine: int = 3, by: str | None = None
 ) -> DataFrame:
     """Pairs (point_id, target_id) whose great-circle distance is at most the target's own ``radius`` (miles).
 

@@ -111,12 +111,13 @@ def _compare(numbers: int, tolerance: float):
                 both = (hit < b - a) & (k[safe] == k[s:e])
                 out.append((v, int(following[s]), k[s:e][~both], "removed"))
         out = [x for x in out if len(x[2])]
+        n = [len(x[2]) for x in out]
         return pd.DataFrame({
-            "_g": [group] * sum(len(x[2]) for x in out),
-            "_at": np.concatenate([np.full(len(x[2]), x[0]) for x in out]) if out else np.empty(0, np.int64),
-            "_v": np.concatenate([np.full(len(x[2]), x[1]) for x in out]) if out else np.empty(0, np.int64),
-            "_k": np.concatenate([x[2] for x in out]) if out else np.empty(0, np.int64),
-            "change_kind": np.concatenate([np.full(len(x[2]), x[3], dtype=object) for x in out]) if out else np.empty(0, object),
+            "_g": pd.Series([group] * sum(n), dtype=object),
+            "_at": np.repeat(np.array([x[0] for x in out], np.int64), n),
+            "_v": np.repeat(np.array([x[1] for x in out], np.int64), n),
+            "_k": np.concatenate([np.empty(0, np.int64), *(x[2] for x in out)]),
+            "change_kind": pd.Series([x[3] for x, m in zip(out, n) for _ in range(m)], dtype=object),
         })
 
     return run
