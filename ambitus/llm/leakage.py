@@ -184,18 +184,20 @@ def _scan(shared, shard_words: int):
         where: list[tuple[object, int]] = []
         held = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> Iterator[pd.DataFrame]:
             starts = np.cumsum([0] + [len(r) + 1 for r in runs])[:-1]
             text = np.concatenate([x for r in runs for x in (r, [0])]).astype(np.int32)
             q, at, n = search_shard(tests, text)
             run_of = np.searchsorted(starts, at, side="right") - 1
             owner = tests.suffix_owner[q]
-            return pd.DataFrame({
+            if not len(q):  # an empty frame has no types
+                return
+            yield pd.DataFrame({
                 "_doc": [where[r][0] for r in run_of],
                 "_item": [tests.owner[o][0] for o in owner],
                 "field": [tests.owner[o][1] for o in owner],
                 "item_word": tests.suffix[q] - tests.starts[owner],
-                "doc_word": [where[r][1] for r in run_of] + (at - starts[run_of]) if len(at) else np.zeros(0, np.int64),
+                "doc_word": [where[r][1] for r in run_of] + (at - starts[run_of]),
                 "n_words": n,
             })
 
@@ -215,12 +217,12 @@ def _scan(shared, shard_words: int):
                         where.append((doc, int(s)))
                         held += int(e - s)
             if held >= shard_words:
-                yield flush()
+                yield from flush()
                 runs.clear()
                 where.clear()
                 held = 0
         if runs:
-            yield flush()
+            yield from flush()
 
     return run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 import pandas as pd
@@ -16,9 +17,6 @@ from .canonical_match import words_of
 #: Distinct values of one field of one group that are aligned in one task; the profiles of such parts are then aligned.
 VALUES_PER_PART = 200
 
-_PROFILE = T.ArrayType(T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("weight", T.DoubleType())])))
-
-
 def _score(column: dict[str, float], other: dict[str, float]) -> float:
     """How well two columns of weighted tokens agree, from 0 to 1."""
     a, b = sum(column.values()), sum(other.values())
@@ -82,10 +80,6 @@ def token_distance(a: list[str], b: list[str]) -> float:
     return prev[-1] / max(len(a), len(b), 1)
 
 
-def _load(profile) -> list[dict[str, float]]:
-    return [{c["token"]: c["weight"] for c in column} for column in profile]
-
-
 def field_consensus(values: DataFrame, values_per_part: int = VALUES_PER_PART) -> DataFrame:
     """(group, field, tokens): the consensus of each field of each group.
 
@@ -102,19 +96,19 @@ def field_consensus(values: DataFrame, values_per_part: int = VALUES_PER_PART) -
     return single.unionByName(several)
 
 
-@F.pandas_udf(_PROFILE)
+@F.pandas_udf(T.StringType())
 def _profile_of(values: pd.Series) -> pd.Series:
+    """The profile as JSON: a list of columns, each a map from token to weight."""
     out = []
     for vs in values:
         profiles = [[{w: float(x["weight"])} for w in words_of(x["value"])] for x in vs]
-        p = progressive([p for p in profiles if p])
-        out.append([[{"token": t, "weight": w} for t, w in c.items()] for c in p])
-    return pd.Series(out)
+        out.append(json.dumps(progressive([p for p in profiles if p])))
+    return pd.Series(out, dtype=object)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _decide(profiles: pd.Series, total: pd.Series) -> pd.Series:
-    return pd.Series([consensus(progressive([_load(p) for p in ps]), float(t)) for ps, t in zip(profiles, total)])
+    return pd.Series([consensus(progressive([json.loads(p) for p in ps]), float(t)) for ps, t in zip(profiles, total)], dtype=object)
 
 
 @F.pandas_udf(T.DoubleType())
