@@ -41,6 +41,7 @@ def overlay_groups(features: DataFrame, group: str, categories: list[str], quadr
             la, lo = projection.inverse(ring[:, 0], ring[:, 1], lat0, lon0)
             area = polygons.signed_area(ring) + sum(polygons.signed_area(q) for q in holes)
             out.append((pdf["group_key"].iloc[0], len(out), float(area), [{"latitude": float(a), "longitude": float(b)} for a, b in zip(la, lo)]))
-        return pd.DataFrame(out, columns=["group_key", "polygon_no", "square_meters", "outer"])
+        frame = pd.DataFrame(out, columns=["group_key", "polygon_no", "square_meters", "outer"], dtype=object)
+        return frame.astype({"polygon_no": "int32", "square_meters": "float64"})
 
     return f.join(whole, "group_key", "left_semi").groupBy("group_key").applyInPandas(run, SCHEMA)

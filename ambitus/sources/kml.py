@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 _COORD = "struct<latitude:double,longitude:double>"
 SCHEMA = f"source_file string, placemark_index int, folder string, name string, description string, metadata map<string,string>, points array<{_COORD}>, lines array<array<{_COORD}>>, polygons array<array<array<{_COORD}>>>"
-_FORBIDDEN = re.compile("[^\x09\x0a\x0d\x20-퟿-�]")
+_FORBIDDEN = re.compile("[^\x09\x0a\x0d\x20-\ud7ff\ue000-\ufffd]")
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -37,7 +37,8 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
         for name, content in zip(pdf["source_file"], pdf["content"]):
             out += [(name, i, *row) for i, row in enumerate(parse_document(content))]
-        yield pd.DataFrame(out, columns=["source_file", "placemark_index", "folder", "name", "description", "metadata", "points", "lines", "polygons"])
+        if out:  # an empty frame has no types
+            yield pd.DataFrame(out, columns=["source_file", "placemark_index", "folder", "name", "description", "metadata", "points", "lines", "polygons"])
 
 
 def parse_document(content: bytes) -> list[tuple]:
