@@ -40,3 +40,22 @@ def test_stream(spark, tmp_path):
         q.stop()
     assert sorted(r["placeId"] for r in spark.table("seen").collect()) == ["1", "2"]
     assert [(r["category"], r["n"]) for r in spark.table("counted").collect()] == [("gym", 4)]
+
+
+def test_harvest_at_any_depth(spark):
+    def entry(i):
+        return f'["T{i}","id{i}",[null,null,{i}.5,-84.0]]'
+
+    def nested(text, n, way):
+        for k in range(n):
+            text = "[" + text + "]" if way == "array" or way == "both" and k % 2 else '{"k":' + text + "}"
+        return "[" + text + "]"
+
+    docs = {f"{way}{n}": nested(entry(n), n, way) for way in ("array", "object", "both") for n in (0, 3, 5, 12, 400)}
+    docs["deep"] = nested(entry(7), 60_000, "both")  # deeper than the parser's recursion
+    docs["inside an entry"] = ")]}'\n" + '["T1","id1",[null,null,1.5,-84.0],{"more":[' + entry(2) + "]}]"
+    docs["repeated key"] = '[{"a":' + entry(1) + ',"a":' + entry(2) + "}]"
+    others = {"blank": '[[" ","x",[0,0,1.5,2.5]],["x",null,[0,0,1.5,2.5]],["x","y",[0,0,null,2.5]],["x","y",[0,0,1.5]],[[1],[2],[0,0,1.5,2.5]]]', "cut": "[[" + entry(1), "none": None, "empty": ""}
+    want = {(k, f"T{n}", f"id{n}", n + 0.5, -84.0) for k in docs for n in ([1, 2] if " " in k else [7] if k == "deep" else [int("".join(c for c in k if c.isdigit()))])}
+    got = places.harvest(spark.createDataFrame([*docs.items(), *others.items()], "doc string, t string"), "t").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
