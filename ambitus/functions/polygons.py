@@ -141,3 +141,20 @@ def inside_ring(ring: np.ndarray, point: np.ndarray) -> bool:
     with np.errstate(divide="ignore", invalid="ignore"):
         x = (b[:, 0] - a[:, 0]) * (point[1] - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0]
     return bool((over & (point[0] < x)).sum() % 2)
+
+
+def with_holes(rings: list[np.ndarray]) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """Each shell, largest first, with its own holes: a hole belongs to the smallest shell around it."""
+    shells = sorted((q for q in rings if signed_area(q) > 0), key=lambda q: -signed_area(q))
+    holes: list[list[np.ndarray]] = [[] for _ in shells]
+    for q in rings:
+        if signed_area(q) < 0:
+            run = np.roll(q, -1, axis=0) - q
+            k = int(np.argmax(np.hypot(run[:, 0], run[:, 1])))
+            # a point of the region beside the hole: unlike a corner of the hole it is on no ring, even where rings touch
+            beside = q[k] + run[k] / 2 + OFFSET * np.array([-run[k, 1], run[k, 0]]) / np.hypot(*run[k])
+            around = [n for n, shell in enumerate(shells) if inside_ring(shell, beside)]
+            if not around:
+                raise ValueError("a hole lies in no shell")
+            holes[around[-1]].append(q)
+    return list(zip(shells, holes))

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ambitus.functions import polygons, projection
 from ambitus.functions.geo import METERS_PER_MILE
 
-SCHEMA = "group_key string, polygon_no int, square_meters double, outer array<struct<latitude:double,longitude:double>>"
+SCHEMA = "group_key string, polygon_no int, square_meters double, outer array<struct<latitude:double,longitude:double>>, holes array<array<struct<latitude:double,longitude:double>>>"
 
 
 def overlay_groups(features: DataFrame, group: str, categories: list[str], quadrant: int = polygons.QUADRANT) -> DataFrame:
-    """(group_key, polygon_no, square_meters, outer): outer rings of where every category is within its radius, for each group.
+    """(group_key, polygon_no, square_meters, outer, holes): the polygons of where every category is within its radius, for each
+    group: outer ring and the rings of its own holes, whose area is not counted.
 
     features: the group, category, radius_miles and points (array of coordinates: one for a point, more for a line).  A group is
     a tile or a request: its features are bounded by the tile, and groups without every category are dropped before Python."""
@@ -27,6 +28,11 @@ def overlay_groups(features: DataFrame, group: str, categories: list[str], quadr
         lon = np.concatenate([[c["longitude"] for c in p] for p in pdf["points"]]).astype(float)
         lat0, lon0 = (lat.min() + lat.max()) / 2, (lon.min() + lon.max()) / 2
         x, y = projection.forward(lat, lon, lat0, lon0)
+
+        def coordinates(ring: np.ndarray) -> list[dict[str, float]]:
+            la, lo = projection.inverse(ring[:, 0], ring[:, 1], lat0, lon0)
+            return [{"latitude": float(a), "longitude": float(b)} for a, b in zip(la, lo)]
+
         xy, at, pieces, of = np.stack([x, y], axis=1), 0, [], []
         for c, r, p in zip(pdf["category"], pdf["radius_miles"], pdf["points"]):
             own, radius = xy[at : at + len(p)], r * METERS_PER_MILE
@@ -36,12 +42,10 @@ def overlay_groups(features: DataFrame, group: str, categories: list[str], quadr
             of += [need.index(c)] * len(made)
         out = []
         rings = polygons.overlay(pieces, np.array(of), len(need))
-        for ring in sorted((q for q in rings if polygons.signed_area(q) > 0), key=lambda q: -polygons.signed_area(q)):
-            holes = [q for q in rings if polygons.signed_area(q) < 0 and polygons.inside_ring(ring, q[0])]
-            la, lo = projection.inverse(ring[:, 0], ring[:, 1], lat0, lon0)
+        for ring, holes in polygons.with_holes(rings):
             area = polygons.signed_area(ring) + sum(polygons.signed_area(q) for q in holes)
-            out.append((pdf["group_key"].iloc[0], len(out), float(area), [{"latitude": float(a), "longitude": float(b)} for a, b in zip(la, lo)]))
-        frame = pd.DataFrame(out, columns=["group_key", "polygon_no", "square_meters", "outer"], dtype=object)
+            out.append((pdf["group_key"].iloc[0], len(out), float(area), coordinates(ring), [coordinates(q) for q in holes]))
+        frame = pd.DataFrame(out, columns=["group_key", "polygon_no", "square_meters", "outer", "holes"], dtype=object)
         return frame.astype({"polygon_no": "int32", "square_meters": "float64"})
 
     return f.join(whole, "group_key", "left_semi").groupBy("group_key").applyInPandas(run, SCHEMA)

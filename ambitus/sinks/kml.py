@@ -23,19 +23,21 @@ def ring(points: Column) -> Column:
     return F.concat(F.lit("<LinearRing>"), coordinates(points), F.lit("</LinearRing>"))
 
 
-def placemark(name: Column, points: Column, kind: Column) -> Column:
-    """One placemark; kind is point, linestring or polygon (points is then the outer ring)."""
-    body = F.when(kind == "point", F.concat(F.lit("<Point>"), coordinates(F.slice(points, 1, 1)), F.lit("</Point>"))).when(kind == "linestring", F.concat(F.lit("<LineString>"), coordinates(points), F.lit("</LineString>"))).otherwise(F.concat(F.lit("<Polygon><outerBoundaryIs>"), ring(points), F.lit("</outerBoundaryIs></Polygon>")))
+def placemark(name: Column, points: Column, kind: Column, holes: Column | None = None) -> Column:
+    """One placemark; kind is point, linestring or polygon (points is then the outer ring, holes an array of inner rings)."""
+    inner = F.lit("") if holes is None else F.coalesce(F.array_join(F.transform(holes, lambda h: F.concat(F.lit("<innerBoundaryIs>"), ring(h), F.lit("</innerBoundaryIs>"))), ""), F.lit(""))
+    body = F.when(kind == "point", F.concat(F.lit("<Point>"), coordinates(F.slice(points, 1, 1)), F.lit("</Point>"))).when(kind == "linestring", F.concat(F.lit("<LineString>"), coordinates(points), F.lit("</LineString>"))).otherwise(F.concat(F.lit("<Polygon><outerBoundaryIs>"), ring(points), F.lit("</outerBoundaryIs>"), inner, F.lit("</Polygon>")))
     return F.concat(F.lit("<Placemark><name>"), xml_escape(F.coalesce(name, F.lit(""))), F.lit("</name>"), body, F.lit("</Placemark>"))
 
 
 def documents(features: DataFrame, key: str, per_document: int = 10_000, n_rows: int | None = None) -> DataFrame:
-    """(source_file, document): features (name, category, points, kind) as documents with one folder per category.
+    """(source_file, document): features (name, category, points, kind, and holes if there is such a column) as
+    documents with one folder per category.
 
     A document holds about per_document placemarks at most: rows are spread over parts by a hash of ``key``, so that a category
     of any size is written in parallel."""
     parts = max(1, -(-(n_rows if n_rows is not None else features.count()) // per_document))
-    rows = features.select(F.coalesce(F.trim("category"), F.lit("")).alias("c"), F.pmod(F.xxhash64(key), F.lit(parts)).alias("p"), F.col(key).alias("k"), placemark(F.col("name"), F.col("points"), F.col("kind")).alias("x"))
+    rows = features.select(F.coalesce(F.trim("category"), F.lit("")).alias("c"), F.pmod(F.xxhash64(key), F.lit(parts)).alias("p"), F.col(key).alias("k"), placemark(F.col("name"), F.col("points"), F.col("kind"), F.col("holes") if "holes" in features.columns else None).alias("x"))
     folders = rows.groupBy("p", "c").agg(F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("k", "x"))), lambda r: r["x"])).alias("x"))
     folders = folders.withColumn("x", F.concat(F.lit("<Folder><name>"), xml_escape(F.col("c")), F.lit("</name>"), F.col("x"), F.lit("</Folder>")))
     out = folders.groupBy("p").agg(F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("c", "x"))), lambda r: r["x"])).alias("x"))

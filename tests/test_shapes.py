@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from ambitus.functions import polygons, projection
 from ambitus.functions import shapes as G
 from ambitus.operators.overlay import overlay_groups
+from ambitus.sinks import kml as kml_sink
+from ambitus.sources import kml as kml_source
 
 
 def test_projection_round_trip():
@@ -40,6 +42,28 @@ def test_overlay_groups(spark):
     assert [r["group_key"] for r in out] == ["t"] and 0 < out[0]["square_meters"] < 3.1416 * (0.2 * 1609.344) ** 2
 
 
+def test_overlay_holes(spark):
+    """A ring of places around an open middle, with an island in the middle that is itself a ring."""
+    place = lambda c, r, y, x: ("t", c, r, [{"latitude": 33.75 + y, "longitude": -84.39 + x}])
+    around = lambda n, d, r: [place(c, r, d * np.cos(t), d * np.sin(t) / np.cos(np.radians(33.75))) for t in np.arange(n) * 2 * np.pi / n for c in ("gym", "grocery")]
+    rows = around(24, 0.03, 0.4) + around(12, 0.01, 0.25)
+    df = spark.createDataFrame([(a, b, float(c), [{k: float(v) for k, v in p.items()} for p in d]) for a, b, c, d in rows], "g string, category string, radius_miles double, points array<struct<latitude:double,longitude:double>>")
+    found = overlay_groups(df, "g", ["gym", "grocery"])
+    out = sorted(found.collect(), key=lambda r: r["polygon_no"])
+    assert [len(r["holes"]) for r in out] == [1, 1]
+
+    def square_meters(ring):
+        x, y = projection.forward(np.array([c["latitude"] for c in ring]), np.array([c["longitude"] for c in ring]), 33.75, -84.39)
+        return abs(polygons.signed_area(np.stack([x, y], axis=1)))
+
+    for r in out:
+        assert abs(square_meters(r["outer"]) - sum(square_meters(h) for h in r["holes"]) - r["square_meters"]) < 1e-3 * r["square_meters"]
+    features = found.select(F.col("polygon_no").cast("string").alias("name"), F.lit("area").alias("category"), F.col("outer").alias("points"), F.lit("polygon").alias("kind"), "holes")
+    docs = kml_sink.documents(features, "name", 100, 2)
+    back = kml_source.placemarks(docs.select("source_file", F.col("document").cast("binary").alias("content"))).collect()
+    assert {(r["name"], len(r["polygons"][0]), len(r["polygons"][0][1])) for r in back} == {(str(r["polygon_no"]), 2, len(r["holes"][0])) for r in out}
+
+
 def test_lines_and_rings(spark):
     line = F.array(*[G.coord(F.lit(y), F.lit(x)) for y, x in [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0)]])
     one = spark.range(1)
