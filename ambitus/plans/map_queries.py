@@ -11,7 +11,7 @@ from ambitus.session import read
 from ambitus.sources import kml as kml_source
 from ambitus.sources.places import harvest
 
-from .place_queries import GRID, N, W, _places
+from .place_queries import GRID, N, W, _placed
 
 
 def kml_roundtrip(spark, d):
@@ -24,11 +24,11 @@ def kml_roundtrip(spark, d):
 
 
 def overlay_tiles(spark, d):
-    """Areas where two kinds of places are within 0.4 miles, by tile."""
-    p = _places(spark, d).withColumn("radius_miles", F.lit(0.4))
+    """Areas where all five kinds of places are within their radii, by tile."""
+    p = _placed(spark, d)
     grid = tiles.tiles(spark, *GRID)
     a = tiles.assign(p, grid, N, W, GRID[4], GRID[5], "place_id").join(p.select("place_id", "radius_miles", F.array(coord(F.col("latitude"), F.col("longitude"))).alias("points")), "place_id")
-    out = overlay.overlay_groups(a.withColumnRenamed("category_key", "category"), "name", ["building", "machinery"], 8)
+    out = overlay.overlay_groups(a.withColumnRenamed("category_key", "category"), "name", ["building", "automobile", "machinery", "household", "furniture"])
     return out.groupBy("group_key").agg(F.count("*").alias("n_polygons"), F.round(F.sum("square_meters"), 0).alias("square_meters"))
 
 

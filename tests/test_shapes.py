@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from ambitus.functions import polygons, projection
 from ambitus.functions import shapes as G
 from ambitus.operators.overlay import overlay_groups
+from ambitus.operators.tiles import tile_rows
+from ambitus.plans import map_queries, place_queries
 from ambitus.sinks import kml as kml_sink
 from ambitus.sources import kml as kml_source
 
@@ -64,6 +66,43 @@ def test_overlay_holes(spark):
     assert {(r["name"], len(r["polygons"][0]), len(r["polygons"][0][1])) for r in back} == {(str(r["polygon_no"]), 2, len(r["holes"][0])) for r in out}
 
 
+def test_overlay_leaves_no_edge_out():
+    rng = np.random.default_rng(6)
+    pieces = [polygons.disc(*rng.uniform(-900, 900, 2), rng.uniform(100, 700)) for _ in range(40)] + [polygons.capsule(rng.uniform(-900, 900, 2), rng.uniform(-900, 900, 2), 150) for _ in range(6)]
+    pieces += pieces[:3]  # the same place twice
+    category = np.arange(len(pieces)) % 3
+    rings = polygons.overlay(pieces, category, 3)
+    xs = np.arange(-1700, 1700, 8.0) + 4
+    grid = np.stack(np.meshgrid(xs, xs), axis=-1).reshape(-1, 2)
+    hit = polygons._inside(grid, pieces)
+    held = np.all([hit[:, category == g].any(axis=1) for g in range(3)], axis=0)
+    assert abs(sum(polygons.signed_area(r) for r in rings) - held.sum() * 64) < 0.005 * held.sum() * 64
+    assert sum(len(e[0]) for e in polygons._outer_edges(pieces, category, np.array([[*p.min(axis=0), *p.max(axis=0)] for p in pieces]))) < sum(map(len, pieces)) / 2
+
+
+def test_overlay_tiles_same_as_samples(spark):
+    """The query's areas: all categories, each with its own radius, against sample points by great-circle distance."""
+    sf, need = "/root/testdata/sf0.01", ["building", "automobile", "machinery", "household", "furniture"]
+    got = {r["group_key"]: r["square_meters"] for r in map_queries.overlay_tiles(spark, sf).collect()}
+    p = place_queries._places(spark, sf).toPandas()
+    p["r"] = p["category"].map(place_queries.RADII).fillna(place_queries.DEFAULT_RADIUS)
+    tiles = tile_rows(*place_queries.GRID)
+    assert set(got) == {t[0] for t in tiles}
+    for name, _, _, n, s, w, e in tiles[::4]:
+        pad = p["r"] / 69.0
+        own = p[(p["latitude"] + pad >= s) & (p["latitude"] - pad <= n) & (p["longitude"] + pad >= w) & (p["longitude"] - pad <= e)]
+        step = 0.0006
+        la, lo = (x.ravel() for x in np.meshgrid(np.arange(s - 0.04, n + 0.04, step), np.arange(w - 0.05, e + 0.05, step)))
+        held = np.ones(len(la), bool)
+        for c in need:
+            q = own[own["category"] == c]
+            a, b = np.radians(q["latitude"].to_numpy()), np.radians(q["longitude"].to_numpy())
+            h = np.sin((np.radians(la)[:, None] - a) / 2) ** 2 + np.cos(np.radians(la))[:, None] * np.cos(a) * np.sin((np.radians(lo)[:, None] - b) / 2) ** 2
+            held &= (2 * 3958.7613 * np.arcsin(np.sqrt(h)) <= q["r"].to_numpy()).any(axis=1)
+        want = (held * np.cos(np.radians(la))).sum() * (np.radians(step) * 6371008.8) ** 2
+        assert abs(got[name] - want) < 0.02 * want
+
+
 def test_lines_and_rings(spark):
     line = F.array(*[G.coord(F.lit(y), F.lit(x)) for y, x in [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0)]])
     one = spark.range(1)
