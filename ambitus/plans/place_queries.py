@@ -235,6 +235,12 @@ def nearest_parent(spark, d):
     return places.nearest_parent(kids, parents, "location_id", "category", 0.25).withColumn("distance_miles", F.round("distance_miles", 6))
 
 
+def nearest_parent_all(spark, d):
+    """The nearest other location of the same category within 0.5 miles: every location is a child and a parent."""
+    g = read(spark, d, "locations").where(is_position("latitude", "longitude")).select("location_id", "category", "latitude", "longitude").dropDuplicates(["location_id"])
+    return places.nearest_parent(g, g, "location_id", "category").withColumn("distance_miles", F.round("distance_miles", 6))
+
+
 def table_cells(spark, d):
     """Cells read back from an HTML table made of each brand."""
     html = F.concat(F.lit("<table><TR> <td>Name</td><td> "), "brand", F.lit(" </td></TR>\n<tr><td>Kind</td>\n<td>"), "category", F.lit("</td></tr></table>"))
@@ -249,7 +255,7 @@ def distinct_types(spark, d):
 QUERIES = {f.__name__: f for f in (
     coverage_cells, coverage_runs, coverage_rects, knn_per_category, missing_categories, diagnose_report, tile_assign, tile_status, tile_counts, tile_grid,
     category_map, radius_lookup, dedupe_locations, dedupe_two_stage, grid_thin, name_normalize, brand_filter, audit_counts, search_expansion, tiles_x_searches,
-    trail_length, trail_keep, densify_lines, park_area, point_in_parks, bbox_frame, segment_distances, place_hash, street_keys, address_join, nearest_parent,
+    trail_length, trail_keep, densify_lines, park_area, point_in_parks, bbox_frame, segment_distances, place_hash, street_keys, address_join, nearest_parent, nearest_parent_all,
     table_cells, distinct_types,
 )}
 

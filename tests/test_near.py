@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ambitus.functions import geo
 from ambitus.operators.near import points_in_regions, points_near_points
+from ambitus.plans import place_queries
 
 
 def miles(a, b, c, d):
@@ -73,6 +74,23 @@ def test_regions_same_as_brute_force(spark):
     assert {tuple(r) for r in points_in_regions(p, a, "id", "area", "rings").collect()} == want and want
 
 
+def test_nearest_parent_all_same_as_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r["location_id"]: (r["parent"], r["distance_miles"]) for r in place_queries.QUERIES["nearest_parent_all"](spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/locations.parquet").where(geo.is_position("latitude", "longitude")).select("location_id", "category", "latitude", "longitude").distinct().toPandas()
+    want = {}
+    for _, own in rows.groupby("category"):
+        ids, la, lo = own["location_id"].to_numpy(), np.radians(own["latitude"].to_numpy()), np.radians(own["longitude"].to_numpy())
+        h = np.sin((la[:, None] - la) / 2) ** 2 + np.cos(la)[:, None] * np.cos(la) * np.sin((lo[:, None] - lo) / 2) ** 2
+        far = 2 * geo.EARTH_RADIUS_MILES * np.arcsin(np.sqrt(np.minimum(1, h)))
+        np.fill_diagonal(far, np.inf)
+        for k in np.flatnonzero(far.min(axis=1) <= 0.5):
+            want[int(ids[k])] = (far[k].min(), {int(x) for x in ids[far[k] <= far[k].min() + 1e-9]})
+    assert set(got) == set(want)
+    assert all(p in want[k][1] and abs(d - want[k][0]) < 2e-6 for k, (p, d) in got.items())
+    assert any(k % 2 == p % 2 for k, (p, _) in got.items()) and any(k % 2 == 0 for k in got) and any(d > 0.25 for _, d in got.values())
+
+
 def test_positions(spark):
     rows = spark.createDataFrame([(0.0, 0.0), (0.0, 5.0), (90.0, 180.0), (-90.1, 0.0), (None, 1.0)], "latitude double, longitude double")
     assert [r[0] for r in rows.select(geo.is_position("latitude", "longitude")).collect()] == [False, True, True, False, False]
