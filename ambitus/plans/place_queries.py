@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ambitus.functions import shapes as G
 from ambitus.functions import text as X
 from ambitus.functions.geo import EARTH_RADIUS_FEET, FEET_PER_DEGREE, is_position
-from ambitus.operators import coverage, dedupe, diagnose, places, tiles
+from ambitus.operators import coverage, dedupe, diagnose, near, places, tiles
 from ambitus.session import read
 
 S, W, N, E, STEP = 33.70, -84.55, 33.95, -84.10, 0.005
@@ -201,6 +201,11 @@ def point_in_parks(spark, d):
     return j.select("p_partkey", G.point_in_polygon(F.col("rings"), F.col("la"), F.col("lo")).alias("inside"), F.round(dist, 2).alias("feet"))
 
 
+def places_in_parks(spark, d):
+    """Every place with every park that contains it."""
+    return near.points_in_regions(_places(spark, d), _parks(spark, d), "place_id", "p_partkey", "rings")
+
+
 def bbox_frame(spark, d):
     return _places(spark, d).groupBy("category").agg(F.min("latitude").alias("south"), F.max("latitude").alias("north"), F.min("longitude").alias("west"), F.max("longitude").alias("east"), F.round((F.min("latitude") + F.max("latitude")) / 2, 9).alias("lat0"), F.round((F.min("longitude") + F.max("longitude")) / 2, 9).alias("lon0"))
 
@@ -255,7 +260,7 @@ def distinct_types(spark, d):
 QUERIES = {f.__name__: f for f in (
     coverage_cells, coverage_runs, coverage_rects, knn_per_category, missing_categories, diagnose_report, tile_assign, tile_status, tile_counts, tile_grid,
     category_map, radius_lookup, dedupe_locations, dedupe_two_stage, grid_thin, name_normalize, brand_filter, audit_counts, search_expansion, tiles_x_searches,
-    trail_length, trail_keep, densify_lines, park_area, point_in_parks, bbox_frame, segment_distances, place_hash, street_keys, address_join, nearest_parent, nearest_parent_all,
+    trail_length, trail_keep, densify_lines, park_area, point_in_parks, places_in_parks, bbox_frame, segment_distances, place_hash, street_keys, address_join, nearest_parent, nearest_parent_all,
     table_cells, distinct_types,
 )}
 

@@ -91,6 +91,17 @@ def test_nearest_parent_all_same_as_brute_force(spark):
     assert any(k % 2 == p % 2 for k, (p, _) in got.items()) and any(k % 2 == 0 for k in got) and any(d > 0.25 for _, d in got.values())
 
 
+def test_places_in_parks_same_as_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    got = [tuple(r) for r in place_queries.QUERIES["places_in_parks"](spark, sf).select("place_id", "p_partkey").collect()]
+    pl, pk = place_queries._places(spark, sf).toPandas(), place_queries._parks(spark, sf).toPandas()
+    x, y, h = (pk[c].to_numpy()[:, None] for c in ("longitude", "latitude", "h"))
+    room = np.minimum(h - np.abs(pl["latitude"].to_numpy() - y), 3 * h - np.abs(pl["longitude"].to_numpy() - x))
+    sure, edge = ({(int(pl["place_id"][b]), int(pk["p_partkey"][a])) for a, b in zip(*np.nonzero(m))} for m in (room > 1e-9, np.abs(room) <= 1e-9))
+    assert len(got) == len(set(got)) and sure <= set(got) <= sure | edge
+    assert any(a != b for a, b in got)
+
+
 def test_positions(spark):
     rows = spark.createDataFrame([(0.0, 0.0), (0.0, 5.0), (90.0, 180.0), (-90.1, 0.0), (None, 1.0)], "latitude double, longitude double")
     assert [r[0] for r in rows.select(geo.is_position("latitude", "longitude")).collect()] == [False, True, True, False, False]
