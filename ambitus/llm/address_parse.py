@@ -128,13 +128,9 @@ class Address:
 def parse(text: str | None, gaz: Gazetteer, town: str | None = None, region: str | None = None, zip: str | None = None) -> Address:
     """Components of an address. town, region, zip: further columns of the record, used where the text has none."""
     out = Address()
-    s = fold(text or "").strip()
-    if s in MISSING:
+    segments = segments_of(text)
+    if not segments:
         return out
-    s = _DOTTED.sub(lambda m: m[1] + m[2] + " ", s)
-    segments = [[t.replace(" ", "") for t in TOKEN.findall(x)] for x in _SPLIT.split(s)]
-    segments = [_without_units(x) for x in segments if x]
-    segments = [x for x in segments if x]
     _take_place(segments, gaz, out)
     _from_columns(out, gaz, town, region, zip)
     for k, seg in enumerate(segments):  # "County Road 5, No. 70": the house number stands apart
@@ -153,6 +149,17 @@ def parse(text: str | None, gaz: Gazetteer, town: str | None = None, region: str
     return out
 
 
+def segments_of(text: str | None) -> list[list[str]]:
+    """The folded tokens of each part of an address, without units; nothing for a missing text."""
+    s = fold(text or "").strip()
+    if s in MISSING:
+        return []
+    s = _DOTTED.sub(lambda m: m[1] + m[2] + " ", s)
+    segments = [[t.replace(" ", "") for t in TOKEN.findall(x)] for x in _SPLIT.split(s)]
+    segments = [_without_units(x) for x in segments if x]
+    return [x for x in segments if x]
+
+
 def _without_units(seg: list[str]) -> list[str]:
     out, i = [], 0
     while i < len(seg):

@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 
 from ambitus.session import cut
 
-from .address_parse import NAME_TERMS, TOKEN, Address, Gazetteer, deletes, fold, parse, within_one
+from .address_parse import NAME_TERMS, TOKEN, Address, Gazetteer, deletes, fold, parse, segments_of, within_one
 
-#: Entries (towns and postcodes) of the learned gazetteer that are broadcast, about 200 bytes each.  Beyond it only those parts of
-#: the gazetteer that occur in an address are joined to it.
-MAX_GAZETTEER = 300_000
+#: Entries (postcodes, towns, region and country words) of the learned gazetteer that are broadcast: with the deletion index of
+#: the towns about 2 KB each at most.  Beyond it the entries that an address may name are joined to it.
+MAX_GAZETTEER = 100_000
 #: A street word is taken for a typing error of one that is at least this many times as frequent and one edit away.
 TYPO_RATIO = 3.0
 
@@ -53,76 +53,86 @@ def learn_places(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return zips, regions, countries
 
 
-def _gazetteer(zips: list, regions: list, countries: list) -> Gazetteer:
-    towns: dict[str, set[str]] = {}
-    for r in zips:
-        towns.setdefault(r["town"], set()).add(r["region"])
-    return Gazetteer({t: tuple(sorted(s)) for t, s in towns.items()}, {r["zip"]: (r["town"], r["region"]) for r in zips}, {r["word"]: r["region"] for r in regions}, frozenset(r["word"] for r in countries))
+def _gazetteer(entries: list) -> Gazetteer:
+    """entries: (kind, word, town, regions) of kinds zip, town, region and country."""
+    of = {k: [e for e in entries if e["kind"] == k] for k in ("zip", "town", "region", "country")}
+    return Gazetteer({e["word"]: tuple(e["regions"]) for e in of["town"]}, {e["word"]: (e["town"], e["regions"][0]) for e in of["zip"]}, {e["word"]: e["regions"][0] for e in of["region"]}, frozenset(e["word"] for e in of["country"]))
+
+
+def gazetteer_entries(zips: DataFrame, regions: DataFrame, countries: DataFrame) -> DataFrame:
+    """(kind, word, town, regions): one row for each postcode, town, region word and country word."""
+    none = F.lit(None).cast("string")
+    z = zips.select(F.lit("zip").alias("kind"), F.col("zip").alias("word"), "town", F.array("region").alias("regions"))
+    t = zips.groupBy("town").agg(F.sort_array(F.collect_set("region")).alias("regions")).select(F.lit("town").alias("kind"), F.col("town").alias("word"), none.alias("town"), "regions")
+    r = regions.groupBy("word").agg(F.min("region").alias("region")).select(F.lit("region").alias("kind"), "word", none.alias("town"), F.array("region").alias("regions"))
+    c = countries.select(F.lit("country").alias("kind"), "word", none.alias("town"), F.array().cast("array<string>").alias("regions"))
+    return z.unionByName(t).unionByName(r).unionByName(c)
 
 
 def parse_records(records: DataFrame, max_gazetteer: int = MAX_GAZETTEER) -> DataFrame:
     """(id, number, name, street_type, direction, town, region, zip) for each record (id, text, town, region, zip); parts that
-    the record does not show are ''."""
-    zips, regions, countries = learn_places(records)
+    the record does not show are ''.
+
+    The gazetteer learned from the records is counted; up to max_gazetteer entries are broadcast, beyond it each record is joined
+    to the entries that its words may name.  Both ways give the same parts."""
     id_type = records.schema["id"].dataType
     schema = T.StructType([T.StructField("id", id_type)] + [T.StructField(c, T.StringType()) for c in PARTS])
-    spark = records.sparkSession
-    zips = cut(zips)
-    region_rows, country_rows = regions.limit(max_gazetteer + 1).collect(), countries.limit(max_gazetteer + 1).collect()
-    if len(region_rows) + len(country_rows) > max_gazetteer:
-        raise ValueError("too many regions and countries: the address tails are not of this locale")
-    if zips.count() <= max_gazetteer:
-        shared = spark.sparkContext.broadcast(_gazetteer(zips.collect(), region_rows, country_rows))
+    entries = cut(gazetteer_entries(*learn_places(records)))
+    rows = entries.limit(max_gazetteer + 1).collect()
+    if len(rows) > max_gazetteer:
+        return _parse_joined(records, entries, schema)
+    shared = records.sparkSession.sparkContext.broadcast(_gazetteer(rows))
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                yield _parsed(pdf["id"], [parse(x, shared.value, t, r, z) for x, t, r, z in zip(pdf["text"], pdf["town"], pdf["region"], pdf["zip"])])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield _parsed(pdf["id"], [parse(x, shared.value, t, r, z) for x, t, r, z in zip(pdf["text"], pdf["town"], pdf["region"], pdf["zip"])])
 
-        return records.select("id", "text", "town", "region", "zip").mapInPandas(run, schema)
-    return _parse_joined(records, zips, region_rows, country_rows, schema)
+    return records.select("id", "text", "town", "region", "zip").mapInPandas(run, schema)
 
 
-def _parse_joined(records: DataFrame, zips: DataFrame, regions: list, countries: list, schema: T.StructType) -> DataFrame:
-    """The same with a gazetteer of any size: each record is joined to the postcodes and towns that its words, or its words
-    with one character deleted, may name, and parsed with these alone."""
-    spark = records.sparkSession
-    shared = spark.sparkContext.broadcast((regions, countries))
+def _parse_joined(records: DataFrame, entries: DataFrame, schema: T.StructType) -> DataFrame:
+    """The same with a gazetteer of any size: each distinct text is joined to the entries that its words, or runs of words with
+    one character deleted, may name, and parsed with these alone."""
+    longest = entries.where("kind = 'town'").agg(F.max(F.size(F.split("word", " ")))).first()[0] or 1
+    columns = ["text", "town", "region", "zip"]
 
     @F.pandas_udf("array<string>")
-    def keys(text: pd.Series, town: pd.Series, zip_: pd.Series) -> pd.Series:
-        return pd.Series([sorted(_keys(*x)) for x in zip(text, town, zip_)])
+    def keys(text: pd.Series, town: pd.Series, region: pd.Series, zip_: pd.Series) -> pd.Series:
+        return pd.Series([sorted(_keys(*x, longest)) for x in zip(text, town, region, zip_)], dtype=object)
 
     @F.pandas_udf("array<string>")
     def town_keys(town: pd.Series) -> pd.Series:
-        return pd.Series([sorted(deletes(t)) for t in town])
+        return pd.Series([sorted(deletes(t)) for t in town], dtype=object)
 
-    # several texts of one id are kept apart
-    base = records.select("id", "text", "town", "region", "zip").distinct().withColumn("_row", F.struct("id", "text", "town", "region", "zip"))
-    wanted = base.select("_row", F.explode(keys("text", "town", "zip")).alias("_key"))
-    entries = zips.select("zip", "town", "region")
-    known = entries.select(F.explode(F.concat(F.array("zip"), town_keys("town"))).alias("_key"), F.struct("zip", "town", "region").alias("_e"))
+    base = records.select("id", *columns).distinct().withColumn("_row", F.struct("id", *columns))
+    wanted = base.select("_row", F.explode(keys(*columns)).alias("_key"))
+    entry = F.struct("kind", "word", "town", "regions").alias("_e")
+    known = entries.where("kind = 'town'").select(F.explode(town_keys("word")).alias("_key"), entry).unionByName(entries.where("kind <> 'town'").select(F.col("word").alias("_key"), entry))
     hits = wanted.join(known, "_key").groupBy("_row").agg(F.collect_set("_e").alias("_es"))
-    rows = base.join(hits, "_row", "left").select("id", "text", "town", "region", "zip", "_es")
+    rows = base.join(hits, "_row", "left").select("id", *columns, "_es")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for text, town, region, zip_, es in zip(pdf["text"], pdf["town"], pdf["region"], pdf["zip"], pdf["_es"]):
-                gaz = _gazetteer([e.asDict() if hasattr(e, "asDict") else e for e in (es if es is not None else [])], *shared.value)
+                gaz = _gazetteer([e.asDict() if hasattr(e, "asDict") else e for e in (es if es is not None else [])])
                 out.append(parse(text, gaz, town, region, zip_))
             yield _parsed(pdf["id"], out)
 
     return rows.mapInPandas(run, schema)
 
 
-def _keys(text: str | None, town: str | None, zip_: str | None) -> set[str]:
-    words = TOKEN.findall(fold(text or ""))
-    out = {w for w in [*words, (zip_ or "").strip()] if len(w) == 5 and w.isdigit()}
-    grams = {" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)} | {fold(town or "").strip()}
-    grams |= {g.replace(" ", "") for g in grams}
-    for g in grams:
-        if 4 <= len(g) <= 40 and not g[0].isdigit():
-            out |= deletes(g)
+def _keys(text: str | None, town: str | None, region: str | None, zip_: str | None, longest: int) -> set[str]:
+    """All keys under which a gazetteer entry that the record may name is stored: single words for postcodes, regions and
+    countries, runs of up to ``longest`` words for towns, with and without their blanks, and their deletions."""
+    out: set[str] = {fold(x or "").strip() for x in (town, region, zip_)}
+    whole = " ".join(TOKEN.findall(fold(town or "")))
+    out |= {whole} | deletes(whole)
+    for words in segments_of(text):
+        for n in range(1, longest + 1):
+            for i in range(len(words) - n + 1):
+                gram = " ".join(words[i : i + n])
+                out |= {gram, gram.replace(" ", "")} | (deletes(gram) if n <= 2 else set())
     return out
 
 
@@ -168,7 +178,7 @@ def _resolve(combos: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 
 def address_keys(records: DataFrame, typo_ratio: float = TYPO_RATIO, max_gazetteer: int = MAX_GAZETTEER) -> DataFrame:
-    """(id, address_key, number, town, region): the place each record's address denotes, for the records that name a street.
+    """(id, address_key, number, name, town, region): the place each record's address denotes, for the records that name a street.
 
     records: id, text, and town, region, zip (null where the record has no such column); further columns are ignored.
 
@@ -207,7 +217,7 @@ def address_keys(records: DataFrame, typo_ratio: float = TYPO_RATIO, max_gazette
     filled = combos.select(*block, F.explode(resolve("combos")).alias("x")).select(*block, "x.*")
     out = parsed.join(filled, [*block, "street_type", "direction"], "left")
     key = F.concat_ws("|", "region", "town", "name", F.coalesce("t", "street_type"), F.coalesce("d", "direction"), "number")
-    return out.select("id", key.alias("address_key"), "number", "town", "region").distinct()
+    return out.select("id", key.alias("address_key"), "number", "name", "town", "region").distinct()
 
 
 def same_address_pairs(keys: DataFrame) -> DataFrame:

@@ -92,27 +92,68 @@ class Form:
     kind: str
 
 
+def initials_of(ws: list[str]) -> str:
+    return "".join(w[0] for w in ws if w != "and")
+
+
+def head_of(ws: list[str], generic: set[str]) -> str:
+    """The words before the first one that other families use as well."""
+    n = next((i for i, w in enumerate(ws) if i and w in generic), len(ws))
+    return "".join(ws[:n])
+
+
+def keys_of(f: Form, max_edits: int) -> set[str]:
+    return deletions(f.text, min(max_edits, allowed(f.text)) if f.kind != "initials" else 0)
+
+
+def readings(value: str) -> list[list[str]]:
+    """The words of a value up to its first separator, and of the whole value."""
+    s = unicodedata.normalize("NFKC", value).strip()
+    out = []
+    for part in dict.fromkeys([p for p in _CUT.split(s) if p and p.strip()][:1] + [s]):
+        ws = [SHORT_WORDS.get(w, w) for w in words_of(re.sub(r"#\s*\w+", " ", part))]
+        while len(ws) > 1 and ws[0] == "the":
+            ws = ws[1:]
+        if re.fullmatch(r"\s*(?:\w\s*\.\s*){2,6}", part):
+            ws = ["".join(ws)]
+        while len(ws) > 1 and (ws[-1] in LEGAL or ws[-1].isdigit()):
+            ws = ws[:-1]
+        if ws:
+            out.append(ws)
+    return out
+
+
+def lookup_keys(value: str | None, longest: int, max_edits: int) -> set[str]:
+    """Every key under which a form that the value may mean is stored, for forms of at most ``longest`` characters."""
+    out: set[str] = set()
+    for ws in [] if is_missing(value) else readings(value):
+        for n in range(1, len(ws) + 1):
+            if sum(map(len, ws[:n])) > longest + max_edits:
+                break
+            for text in {"".join(ws[:n]), "".join(sorted(ws[:n]))}:
+                out |= deletions(text, min(max_edits, allowed(text)))
+    return out
+
+
 class ReferenceIndex:
     """entries: id -> text; used: id -> how often the entry occurs as it is written (0 if absent)."""
 
-    def __init__(self, entries: dict[int, str], used: dict[int, int] | None = None, max_edits: int = 2):
+    def __init__(self, entries: dict[int, str], used: dict[int, int] | None = None, max_edits: int = 2, generic: set[str] | None = None, shared: set[str] | None = None):
+        """generic: words that entries of different first words share; shared: initials of several entries.  Both are those of the
+        whole list; they are found from the entries unless the entries are only some families of a longer list."""
         self.entries, self.used, self.max_edits = entries, used or {}, max_edits
         self.words = {k: words_of(v) for k, v in entries.items()}
-        firsts = defaultdict(set)
-        for ws in self.words.values():
-            for w in ws:
-                firsts[w].add(ws[0])
-        self.generic = {w for w, f in firsts.items() if len(f) > 1}
-        self.heads: dict[int, str] = {}
+        if generic is None:
+            firsts = defaultdict(set)
+            for ws in self.words.values():
+                for w in ws:
+                    firsts[w].add(ws[0])
+            generic = {w for w, f in firsts.items() if len(f) > 1}
+        self.generic = generic
+        if shared is None:
+            shared = {x for x, n in Counter(initials_of(ws) for ws in self.words.values()).items() if n > 1}
+        self.heads = {k: head_of(ws, generic) for k, ws in self.words.items()}
         forms: set[Form] = set()
-        initials = Counter("".join(w[0] for w in ws if w != "and") for ws in self.words.values())
-        for k, ws in self.words.items():
-            head = []
-            for w in ws:
-                if w in self.generic and head:
-                    break
-                head.append(w)
-            self.heads[k] = "".join(head)
         family = defaultdict(list)
         for k, h in self.heads.items():
             family[h].append(k)
@@ -132,15 +173,16 @@ class ReferenceIndex:
                     forms.add(Form("".join([*ws[:i], bare, *ws[i + 1 :]]), k, 0.4, "whole"))
             if self.base[self.heads[k]] == k and len(self.heads[k]) >= 4:
                 forms.add(Form(self.heads[k], k, 0.5, "head"))
-            short = "".join(w[0] for w in plain)
-            if len(short) >= 3 and initials[short] == 1:
+            short = initials_of(ws)
+            if len(short) >= 3 and short not in shared:
                 forms.add(Form(short, k, 0.3, "initials"))
+        self.forms = forms
         self.memo: dict = {}
         self.found: dict = {}
         self.longest = max((len(f.text) for f in forms), default=0)
         self.index: dict[str, list[Form]] = defaultdict(list)
         for f in sorted(forms, key=lambda f: (f.text, f.entry, f.cost)):
-            for d in deletions(f.text, min(max_edits, allowed(f.text)) if f.kind != "initials" else 0):
+            for d in keys_of(f, max_edits):
                 self.index[d].append(f)
         self.index = dict(self.index)
         self.exact = {"".join(ws): k for k, ws in sorted(self.words.items(), reverse=True)}
@@ -194,20 +236,8 @@ class ReferenceIndex:
         company form), then as a head followed by common words; less cost wins, then more words, then more use."""
         if is_missing(value):
             return 0, float("inf"), False
-        s = unicodedata.normalize("NFKC", value).strip()
-        parts = [p for p in _CUT.split(s) if p and p.strip()]
         best = None
-        for part in dict.fromkeys(parts[:1] + [s]):
-            ws = [SHORT_WORDS.get(w, w) for w in words_of(re.sub(r"#\s*\w+", " ", part))]
-            while len(ws) > 1 and ws[0] == "the":
-                ws = ws[1:]
-            dotted = re.fullmatch(r"\s*(?:\w\s*\.\s*){2,6}", part)
-            if dotted:
-                ws = ["".join(ws)]
-            while len(ws) > 1 and (ws[-1] in LEGAL or ws[-1].isdigit()):
-                ws = ws[:-1]
-            if not ws:
-                continue
+        for ws in readings(value):
             found = self._match_words(ws)
             if found and (best is None or found[0] < best[0]):
                 best = found

@@ -12,8 +12,10 @@ import numpy as np
 
 
 class LabelModel:
-    def __init__(self, functions: int, rounds: int = 60, smoothing: float = 0.5):
-        self.k, self.rounds, self.smoothing = functions, rounds, smoothing
+    def __init__(self, functions: int, rounds: int = 60, smoothing: float = 0.5, lean: tuple[tuple[float, float, float], tuple[float, float, float]] = ((0.8, 0.1, 0.1), (0.1, 0.1, 0.8)), strength: float = 0.01):
+        """lean: shares of the votes -1, 0 and 1 that a function is taken to cast beforehand, among non-matches and among matches;
+        they weigh as much as ``strength`` of all pairs."""
+        self.k, self.rounds, self.smoothing, self.lean, self.strength = functions, rounds, smoothing, lean, strength
         self.prior = 0.5
         self.trees: list[list[tuple[int, int]]] = [[], []]
         self.tables: list[list[np.ndarray]] = [[], []]
@@ -67,10 +69,11 @@ class LabelModel:
             self.trees = [[(j, -1) for j in range(self.k)]] * 2
             self.tables = [[flat] * self.k] * 2
             return self
-        p = 1 / (1 + np.exp(-2.0 * votes.sum(axis=1)))
-        # beforehand a function is taken to be right rather than wrong: this also keeps the classes from changing places
-        strength = max(1.0, 0.01 * counts.sum())
-        lean = [np.tile(strength * np.array([0.8, 0.1, 0.1]), (self.k, 1)), np.tile(strength * np.array([0.1, 0.1, 0.8]), (self.k, 1))]
+        # the start is what the shares beforehand say: this also keeps the classes from changing places
+        said = np.log(np.array(self.lean[1])) - np.log(np.array(self.lean[0]))
+        p = 1 / (1 + np.exp(-np.clip(said[votes + 1].sum(axis=1), -30, 30)))
+        strength = max(1.0, self.strength * counts.sum())
+        lean = [np.tile(strength * np.array(shares), (self.k, 1)) for shares in self.lean]
         for _ in range(self.rounds):
             w = [counts * (1 - p), counts * p]
             self.prior = float(np.clip(w[1].sum() / counts.sum(), 0.001, 0.999))

@@ -18,10 +18,13 @@ from .lookalike import INVISIBLE, LOOKALIKES
 #: Words of a shard: a suffix array holds about this many, and a task works through its shards one after the other.
 SHARD_WORDS = 1_000_000
 #: Most words of all test items together: they are broadcast.
-MAX_TEST_WORDS = 5_000_000
+MAX_TEST_WORDS = 1_000_000
+#: Matches of a shard that are looked at together.
+MATCHES_AT_ONCE = 2_000_000
 
-_INLINE = re.compile(r"</?(?:a|b|i|u|s|em|strong|span|code|mark|sub|sup|small|big|font|tt|kbd|q|cite)\b[^<>]{0,2000}>", re.I)
-_TAG = re.compile(r"<!--.*?-->|</?[a-zA-Z][^<>]{0,2000}>", re.S)
+# a tag ends before the next bracket, so that a text is read once however long its tags are
+_INLINE = re.compile(r"</?(?:a|b|i|u|s|em|strong|span|code|mark|sub|sup|small|big|font|tt|kbd|q|cite)\b[^<>]*>", re.I)
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 _ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\([nrtbfv])|\\(.)|%([0-9A-Fa-f]{2})", re.S)
 _INVISIBLE = re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: "\\U%08x" % int(m[1], 16), INVISIBLE))
 _WORD = re.compile(r"[^\W_]+")
@@ -37,12 +40,21 @@ def _unescape(m: re.Match) -> str:
     return " " if m[3] else m[4]
 
 
+def without_comments(text: str) -> str:
+    """Without <!-- ... -->, each as a blank; a comment that is never closed stays."""
+    out, at = [], 0
+    while (start := text.find("<!--", at)) >= 0 and (end := text.find("-->", start + 4)) >= 0:
+        out += [text[at:start], " "]
+        at = end + 3
+    return "".join([*out, text[at:]]) if out else text
+
+
 def words(text: str | None) -> list[str]:
     """The words of a text apart from case, punctuation, layout, mark-up, escapes, look-alike and invisible characters."""
     if not text:
         return []
     if "<" in text:
-        text = _TAG.sub(" ", _INLINE.sub("", text))
+        text = _TAG.sub(" ", _INLINE.sub("", without_comments(text)))
     if "&" in text:
         text = html.unescape(text)
     if "\\" in text or "%" in text:
@@ -72,6 +84,9 @@ class Passages:
         # every suffix of at least min_words words
         self.suffix = np.concatenate([s + np.arange(n - min_words + 1) for s, n in zip(self.starts, lengths)]) if seqs else np.zeros(0, np.int64)
         self.suffix_owner = np.repeat(np.arange(len(seqs)), np.maximum(0, lengths - min_words + 1))
+        # the different beginnings of suffixes, and which of them each suffix has
+        self.grams, self.gram_of = np.unique(_gather(self.text, self.suffix, min_words), axis=0, return_inverse=True)
+        self.gram_of = self.gram_of.reshape(-1)
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -115,32 +130,38 @@ def _bound(text: np.ndarray, sa: np.ndarray, queries: np.ndarray, upper: bool) -
         hi[open_[~less]] = mid[~less]
 
 
-def search_shard(tests: Passages, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def search_shard(tests: Passages, text: np.ndarray, at_once: int = MATCHES_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(index into tests.suffix, position in the shard, words) of every match of min_words words or more that can be extended
-    on neither side."""
+    on neither side.
+
+    The first min_words words of every test suffix are searched once each, however many suffixes begin with them; the matches of
+    all suffixes are looked at at_once at a time, and only those that begin where no longer match does are kept."""
     m = tests.min_words
     sa = suffix_array(text, m)
-    queries = _gather(tests.text, tests.suffix, m)
-    lo, hi = _bound(text, sa, queries, False), _bound(text, sa, queries, True)
-    count = hi - lo
-    q = np.repeat(np.arange(len(queries)), count)
-    at = sa[np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
-    t = tests.suffix[q]
-    # only where the words before differ: the others are inside a longer match
-    before_t = np.where(t > 0, tests.text[np.maximum(t - 1, 0)], 0)
-    before_c = np.where(at > 0, text[np.maximum(at - 1, 0)], 0)
-    left = (before_t == 0) | (before_t != before_c)
-    q, at, t = q[left], at[left], t[left]
-    n = np.full(len(q), m, np.int64)
-    live = np.arange(len(q))
-    while len(live):
-        i, j = t[live] + n[live], at[live] + n[live]
-        ok = (i < len(tests.text)) & (j < len(text))
-        live, i, j = live[ok], i[ok], j[ok]
-        same = (tests.text[i] == text[j]) & (tests.text[i] != 0)
-        live = live[same]
-        n[live] += 1
-    return q, at, n
+    lo, hi = _bound(text, sa, tests.grams, False), _bound(text, sa, tests.grams, True)
+    count = (hi - lo)[tests.gram_of]
+    ends = np.cumsum(count)
+    for first in range(0, int(ends[-1]) if len(ends) else 0, at_once):
+        k = np.arange(first, min(first + at_once, int(ends[-1])))
+        q = np.searchsorted(ends, k, side="right")
+        at = sa[lo[tests.gram_of[q]] + k - (ends - count)[q]]
+        t = tests.suffix[q]
+        # only where the words before differ: the others are inside a longer match
+        before_t = np.where(t > 0, tests.text[np.maximum(t - 1, 0)], 0)
+        before_c = np.where(at > 0, text[np.maximum(at - 1, 0)], 0)
+        left = (before_t == 0) | (before_t != before_c)
+        q, at, t = q[left], at[left], t[left]
+        n = np.full(len(q), m, np.int64)
+        live = np.arange(len(q))
+        while len(live):
+            i, j = t[live] + n[live], at[live] + n[live]
+            ok = (i < len(tests.text)) & (j < len(text))
+            live, i, j = live[ok], i[ok], j[ok]
+            same = (tests.text[i] == text[j]) & (tests.text[i] != 0)
+            live = live[same]
+            n[live] += 1
+        if len(q):
+            yield q, at, n
 
 
 def find_leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, fields: list[str], min_words: int = 12, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -187,19 +208,19 @@ def _scan(shared, shard_words: int):
         def flush() -> Iterator[pd.DataFrame]:
             starts = np.cumsum([0] + [len(r) + 1 for r in runs])[:-1]
             text = np.concatenate([x for r in runs for x in (r, [0])]).astype(np.int32)
-            q, at, n = search_shard(tests, text)
-            run_of = np.searchsorted(starts, at, side="right") - 1
-            owner = tests.suffix_owner[q]
-            if not len(q):  # an empty frame has no types
-                return
-            yield pd.DataFrame({
-                "_doc": [where[r][0] for r in run_of],
-                "_item": [tests.owner[o][0] for o in owner],
-                "field": [tests.owner[o][1] for o in owner],
-                "item_word": tests.suffix[q] - tests.starts[owner],
-                "doc_word": [where[r][1] for r in run_of] + (at - starts[run_of]),
-                "n_words": n,
-            })
+            for q, at, n in search_shard(tests, text):
+                run_of = np.searchsorted(starts, at, side="right") - 1
+                owner = tests.suffix_owner[q]
+                yield pd.DataFrame({
+                    "_doc": [where[r][0] for r in run_of],
+                    "_item": [tests.owner[o][0] for o in owner],
+                    "field": [tests.owner[o][1] for o in owner],
+                    "item_word": tests.suffix[q] - tests.starts[owner],
+                    "doc_word": [where[r][1] for r in run_of] + (at - starts[run_of]),
+                    "n_words": n,
+                })
+            runs.clear()
+            where.clear()
 
         if not len(tests.suffix):
             for _ in batches:
@@ -216,11 +237,9 @@ def _scan(shared, shard_words: int):
                         runs.append(a[s:e])
                         where.append((doc, int(s)))
                         held += int(e - s)
-            if held >= shard_words:
-                yield from flush()
-                runs.clear()
-                where.clear()
-                held = 0
+                if held >= shard_words:
+                    yield from flush()
+                    held = 0
         if runs:
             yield from flush()
 

@@ -8,7 +8,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ambitus.functions.geo import haversine, is_position
 from ambitus.operators.components import connected_components
@@ -16,75 +15,109 @@ from ambitus.operators.near import points_near_points
 from ambitus.session import cut
 
 from .address_parse import TYPE_OF
-from .canonical import missing, nearest_entry
-from .canonical_match import LEGAL, SHORT_WORDS, words_of
+from .canonical import Reference, explained, with_hits
+from .canonical_match import LEGAL, SHORT_WORDS, is_missing, words_of
 from .label_model import LabelModel
 
-#: Miles between two positions of one place at most, for candidates and for the vote "same".
+#: Miles between two positions up to which records are compared, up to which the vote is "same", and from which it is "different".
+COMPARE_MILES = 0.12
 NEAR_MILES = 0.05
 FAR_MILES = 0.08
-FUNCTIONS = ("address", "number", "position", "brand", "label", "town", "key")
-COLUMNS = ("id", "src", "family", "variant", "short", "label", "address_key", "number", "town", "lat", "lon", "ext_key", "hint")
+FUNCTIONS = ("brand", "address", "street", "number", "town", "position", "label", "key")
+#: Share of each vote (different, none, same) that a function is taken to cast among pairs of one thing and of different things,
+#: before anything is learned.  An objection of a function is rare among pairs of one thing.
+LEAN_SAME = (0.01, 0.29, 0.70)
+LEAN_OTHER = (0.50, 0.30, 0.20)
+_FEATURES = ("src", "family", "variant", "short", "label", "akey", "number", "street", "town", "lat", "lon", "ext_key", "hint", "own")
 
 
-@F.pandas_udf(T.StructType([T.StructField("family", T.StringType()), T.StructField("variant", T.StringType())]))
-def _unlisted(primary: pd.Series, other: pd.Series) -> pd.DataFrame:
+def _unlisted(primary: str | None, other: str | None) -> tuple[str | None, str]:
     """First word of a name that is in no list, and the word after it."""
-    out = []
-    for a, b in zip(primary, other):
-        family, variant = None, ""
-        for text in (a, b):
-            first = [p for p in re.split(r"\s+[-–—|]\s+|[|(,;]", text or "") if p.strip()][:1]
-            ws = ["".join(words_of(w)) for w in first[0].split()] if first else []
-            ws = [w for w in ws if w and w != "the"]
-            if ws:
-                family = family or ws[0]
-                if ws[0] == family and not variant and len(ws) > 1:
-                    variant = ws[1]
-        out.append((family, variant))
-    return pd.DataFrame(out, columns=["family", "variant"])
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _label(name: pd.Series, brand: pd.Series) -> pd.Series:
+    family, variant = None, ""
+    for text in (primary, other):
+        first = [p for p in re.split(r"\s+[-–—|]\s+|[|(,;]", text or "") if p.strip()][:1]
+        ws = ["".join(words_of(w)) for w in first[0].split()] if first else []
+        ws = [w for w in ws if w and w != "the"]
+        if ws:
+            family = family or ws[0]
+            if ws[0] == family and not variant and len(ws) > 1:
+                variant = ws[1]
+    return family, variant
+
+
+def _label(name: str | None, brand: str) -> list[str]:
     """Words of a name that tell the branch: without the brand's words, numbers and whatever is a street."""
-    out = []
-    for n, b in zip(name, brand):
-        text = (n or "").split("|")[0]
-        text = re.sub(r"\(([^)]*)\)", lambda m: " " if any(c.isdigit() for c in m[1]) or any(w in TYPE_OF for w in words_of(m[1])) else f" {m[1]} ", text)
-        skip = set(words_of(b or "")) | LEGAL
-        ws = [w for w in words_of(text) if SHORT_WORDS.get(w, w) not in skip and w not in skip and not w.isdigit()]
-        out.append(ws)
-    return pd.Series(out)
-
-
-def describe(records: DataFrame, reference: DataFrame, ref_id: str, ref_text: str, indexes: list) -> DataFrame:
-    """Records (id, src, brand, name, lat, lon, ext_key, hint) with what the functions compare: family, variant, short, label.
+    text = (name or "").split("|")[0]
+    text = re.sub(r"\(([^)]*)\)", lambda m: " " if any(c.isdigit() for c in m[1]) or any(w in TYPE_OF for w in words_of(m[1])) else f" {m[1]} ", text)
+    skip = set(words_of(brand)) | LEGAL
+    return sorted({w for w in words_of(text) if SHORT_WORDS.get(w, w) not in skip and w not in skip and not w.isdigit()})
+
+
+def described_as(brand: str | None, name: str | None, typed: bool, of_brand: tuple, of_name: tuple) -> tuple[str | None, str, bool, list[str]]:
+    """(family, variant, short, label) of a record; of_brand and of_name are the hits of its two texts, typed whether the brand
+    counts before the name where neither is in the list."""
+    no_brand = is_missing(brand)
+    entry, _, short, family, text = of_name if no_brand else of_brand
+    if not no_brand and (not entry or short):
+        if not entry or (of_name[0] and of_name[3] == family and not of_name[2]):
+            entry, _, short, family, text = of_name
+    if entry:
+        return f"={family}", str(entry), bool(short), _label(name, text)
+    first, second = _unlisted(brand if is_missing(name) or typed else name, brand)
+    if first is None:
+        return None, "", False, []
+    return f"?{first}", second, not second, _label(name, " ".join(x for x in (first, second, "" if no_brand else brand) if x))
+
+
+def describe(records: DataFrame, reference: Reference) -> DataFrame:
+    """One row an id: records (id, src, brand, name, typed, lat, lon, ext_key, hint) with family, variant, short and label.
 
     brand is what the record gives as its brand, name what it is called; either may be missing, the first that means an entry of
-    the reference list counts.  A brand that is in no list is told by the first two words of its name."""
-    spark = records.sparkSession
-    ref = reference.select(F.col(ref_id).cast("long").alias("_e"), F.col(ref_text).alias("_text")).where(F.col("_text").isNotNull()).groupBy("_text").agg(F.min("_e").alias("_e"))
-    r = records.select("id", "src", "brand", "name", "lat", "lon", "ext_key", "hint").distinct()
-    r = r.join(ref, r["brand"] == ref["_text"], "left").drop("_text")
-    known = F.col("_e").isNotNull()
-    # looked up only where needed: a null costs nothing
-    r = r.withColumn("_t", F.when(known, F.lit(None)).when(missing(F.col("brand")), F.col("name")).otherwise(F.col("brand")))
-    r = r.withColumn("_h", nearest_entry(F.coalesce(F.when(known, F.col("brand")), F.col("_t")), indexes, spark))
-    r = r.withColumn("_h2", nearest_entry(F.when(((F.col("_h.entry") == 0) | F.col("_h.short")) & ~missing(F.col("brand")), F.col("name")), indexes, spark))
-    better = (F.col("_h.entry") == 0) | (F.col("_h.short") & (F.col("_h2.entry") > 0) & (F.col("_h2.family") == F.col("_h.family")) & ~F.col("_h2.short"))
-    r = r.withColumn("_h", F.when(better, F.col("_h2")).otherwise(F.col("_h"))).drop("_h2", "_t", "_e")
-    listed = F.col("_h.entry") > 0
-    r = r.withColumn("_u", _unlisted(F.when(listed, F.lit(None)).when(missing(F.col("name")) | (F.col("src") == "shots"), F.col("brand")).otherwise(F.col("name")), F.when(~listed, F.col("brand"))))
-    names = ref.groupBy(F.col("_e").alias("_e2")).agg(F.min("_text").alias("_brand"))
-    r = r.join(names, r["_h.entry"] == names["_e2"], "left")
-    r = r.withColumn("label", _label("name", F.coalesce("_brand", F.concat_ws(" ", "_u.family", "_u.variant", F.when(~missing(F.col("brand")), F.col("brand"))))))
-    return r.select(
-        "id", "src", F.when(listed, F.concat(F.lit("="), "_h.family")).otherwise(F.concat(F.lit("?"), "_u.family")).alias("family"),
-        F.when(listed, F.col("_h.entry").cast("string")).otherwise(F.coalesce("_u.variant", F.lit(""))).alias("variant"),
-        F.when(listed, F.col("_h.short")).otherwise(F.coalesce("_u.variant", F.lit("")) == "").alias("short"),
-        "label", "lat", "lon", F.when(~missing(F.col("ext_key")), F.col("ext_key")).alias("ext_key"), "hint",
-    ).where(F.col("family").isNotNull())
+    the reference list counts.  A brand that is in no list is told by the first two words of its name.  An id given twice with
+    different values is described by one of its rows, the smallest; a record that names nothing has no row."""
+    columns = ["src", "brand", "name", "typed", "lat", "lon", "ext_key", "hint"]
+    r = records.where(F.col("id").isNotNull()).groupBy("id").agg(F.min(F.struct(*columns)).alias("_r")).select("id", "_r.*")
+    out = "family string, variant string, short boolean, label array<string>"
+    if reference.shared is not None:
+        shared = reference.shared
+
+        @F.pandas_udf(out)
+        def tell(brand: pd.Series, name: pd.Series, typed: pd.Series) -> pd.DataFrame:
+            rows = []
+            for b, n, t in zip(brand, name, typed):
+                hit = explained(shared.value, b)
+                rows.append(described_as(b, n, bool(t), hit, explained(shared.value, n) if not hit[0] or hit[2] else hit))
+            return pd.DataFrame(rows, columns=["family", "variant", "short", "label"]).astype({"short": "bool"})
+
+        r = r.withColumn("_t", tell("brand", "name", "typed"))
+    else:
+
+        @F.pandas_udf(out)
+        def tell_hits(brand: pd.Series, name: pd.Series, typed: pd.Series, of_brand: pd.DataFrame, of_name: pd.DataFrame) -> pd.DataFrame:
+            hits = (list(h.itertuples(index=False, name=None)) for h in (of_brand, of_name))
+            return pd.DataFrame([described_as(b, n, bool(t), x, y) for b, n, t, x, y in zip(brand, name, typed, *hits)], columns=["family", "variant", "short", "label"]).astype({"short": "bool"})
+
+        r = with_hits(with_hits(r, "brand", reference, "_b"), "name", reference, "_n").withColumn("_t", tell_hits("brand", "name", "typed", "_b", "_n"))
+    key = F.when(F.trim("ext_key") != "", F.col("ext_key"))
+    key = F.when(~F.lower(F.trim(key)).isin("null", "n/a", "na", "-", "none"), key)
+    return r.select("id", "src", "_t.*", "lat", "lon", key.alias("ext_key"), "hint").where(F.col("family").isNotNull())
+
+
+def with_places(described: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Described records with akey, number, street, town and a position, each from the record itself or, where it has none, from
+    the records of the same table and external key (if these name one address only) and from the records at the same address.
+    own: whether the address is the record's own."""
+    a = addresses.groupBy("id").agg(F.min(F.struct(F.col("address_key").alias("akey"), "number", F.col("name").alias("street"), "town")).alias("_a"))
+    d = described.join(a, "id", "left")
+    placed = is_position("lat", "lon")
+    d = d.withColumn("_at", F.when(placed, F.struct("lat", "lon"))).drop("lat", "lon")
+    of_key = d.where(F.col("ext_key").isNotNull()).groupBy("src", "ext_key").agg(F.min("_a").alias("_lo"), F.max("_a.akey").alias("_hi"), F.min("_at").alias("_kat"))
+    of_key = of_key.select("src", "ext_key", F.when(F.col("_lo.akey") == F.col("_hi"), F.col("_lo")).alias("_ka"), "_kat")
+    d = d.join(of_key, ["src", "ext_key"], "left").withColumn("own", F.col("_a").isNotNull())
+    d = d.withColumn("_a", F.coalesce("_a", "_ka")).withColumn("_at", F.coalesce("_at", "_kat")).select("id", "src", "family", "variant", "short", "label", "ext_key", "hint", "own", "_a.*", "_at")
+    of_address = d.where(F.col("akey").isNotNull() & F.col("_at").isNotNull()).groupBy("akey").agg(F.min("_at").alias("_aat"))
+    d = d.join(of_address, "akey", "left").withColumn("_at", F.coalesce("_at", "_aat"))
+    return d.select("id", *[F.col("_at")[c].alias(c) if c in ("lat", "lon") else F.col(c) for c in _FEATURES])
 
 
 def _vote(same: Column, different: Column) -> Column:
@@ -92,117 +125,117 @@ def _vote(same: Column, different: Column) -> Column:
 
 
 def vote(pairs: DataFrame) -> DataFrame:
-    """Adds one column of votes for each function to pairs of described records (columns a and b, structs)."""
+    """Adds one column of votes for each function to pairs of placed records (columns a and b, structs), and miles."""
     a, b = F.col("a"), F.col("b")
-
-    def both(f: str) -> Column:
-        return a[f].isNotNull() & b[f].isNotNull()
-
     d = haversine(a["lat"], a["lon"], b["lat"], b["lon"])
-    placed = is_position(F.col("a.lat"), F.col("a.lon")) & is_position(F.col("b.lat"), F.col("b.lon"))
+    placed = a["lat"].isNotNull() & b["lat"].isNotNull()
     towns = F.split(F.concat_ws(" ", a["town"], b["town"]), " ")
-    la, lb = (F.array_sort(F.array_except(x["label"], towns)) for x in (a, b))
-    compatible = (a["variant"] == b["variant"]) & ~a["short"] & ~b["short"]
-    differs = (a["variant"] != b["variant"]) & ~a["short"] & ~b["short"]
+    la, lb = (F.array_except(x["label"], towns) for x in (a, b))
+    full = ~a["short"] & ~b["short"]
     # an address in a web address: "...-town-number"
     hint = F.coalesce(F.when(a["town"].isNull(), a["hint"]), F.when(b["town"].isNull(), b["hint"]))
     town, number = F.coalesce(a["town"], b["town"]), F.coalesce(a["number"], b["number"])
     tail = F.concat(F.lit("-"), F.regexp_replace(town, " ", "-"), F.lit("-"))
     hinted = hint.isNotNull() & town.isNotNull()
     hinted_number = F.regexp_extract(hint, r"-(\d+)$", 1)
+    same_town = (a["town"] == b["town"]) | (hinted & F.contains(hint, tail))
     return (
-        pairs.withColumn("address", _vote(a["address_key"] == b["address_key"], a["address_key"] != b["address_key"]))
+        pairs.withColumn("brand", _vote((a["variant"] == b["variant"]) & full, (a["variant"] != b["variant"]) & full))
+        .withColumn("address", _vote(a["akey"] == b["akey"], a["akey"] != b["akey"]))
+        .withColumn("street", _vote(a["street"] == b["street"], a["street"] != b["street"]))
         .withColumn("number", _vote((a["number"] == b["number"]) | (hinted & (hinted_number == number)), (a["number"] != b["number"]) | (hinted & (hinted_number != "") & (hinted_number != number))))
+        .withColumn("town", _vote(same_town, (a["town"] != b["town"]) | (hinted & ~F.contains(hint, tail))))
         .withColumn("position", _vote(placed & (d <= NEAR_MILES), placed & (d > FAR_MILES)))
-        .withColumn("brand", _vote(compatible, differs))
         .withColumn("label", _vote((F.size(la) > 0) & (la == lb), (F.size(la) > 0) & (F.size(lb) > 0) & (la != lb)))
-        .withColumn("town", _vote((both("town") & (a["town"] == b["town"])) | (hinted & F.contains(hint, tail)), (both("town") & (a["town"] != b["town"])) | (hinted & ~F.contains(hint, tail))))
-        .withColumn("key", _vote(a["ext_key"] == b["ext_key"], F.lit(False)))
+        .withColumn("key", _vote((a["src"] == b["src"]) & (a["ext_key"] == b["ext_key"]), F.lit(False)))
         .withColumn("miles", F.when(placed, d))
     )
 
 
-def candidates(d: DataFrame) -> DataFrame:
-    """Pairs (ida, idb) worth a vote.  d: described records with address_key, number, town.
-
-    Records of one family and address, of different tables or with a shortened brand; of one family and within NEAR_MILES, if one of them has no address; of
-    one family where a web address ends with the other's town and house number.  All are equi-joins on at least the family and a
-    place, so that a brand with very many records is spread over its places."""
-    slim = d.select("id", "src", "short", "family", "address_key", "number", "lat", "lon", "hint", F.element_at(F.split("town", " "), -1).alias("last"))
-    a, b = (slim.select(F.col("id").alias(f"id{x}"), F.col("src").alias(f"src{x}"), F.col("short").alias(f"short{x}"), "family", "address_key") for x in "ab")
-    worth = (F.col("srca") != F.col("srcb")) | F.col("shorta") | F.col("shortb")
-    same = a.join(b, ["family", "address_key"]).where(worth & (F.col("ida") < F.col("idb"))).select("ida", "idb")
-    placed = slim.where(is_position("lat", "lon")).select("id", "family", "lat", "lon", "address_key", F.lit(NEAR_MILES).alias("radius"))
-    near = points_near_points(placed.withColumnRenamed("id", "p"), placed.where(F.col("address_key").isNull()).withColumnRenamed("id", "t"), "p", "t", "radius", "lat", "lon", refine=0, by="family")
+def candidates(d: DataFrame, across: bool = True) -> DataFrame:
+    """Pairs (ida, idb), smaller id first, that are worth a vote.  d: records with places.
+
+    Records of one family with the same town and house number, whatever the street; of one family and within COMPARE_MILES; of one
+    family where a web address ends with the other's town and house number.  All are equi-joins on at least the family and a
+    place, so that a brand with very many records is spread over its places.
+
+    across: records of different tables, all of them.  Otherwise records of one table, and then each record is paired with the
+    first record of its brand and address and of its external key, not with every other one: their number follows the records."""
+    slim = d.select("id", "src", "family", "variant", "short", "akey", "number", "town", "lat", "lon", "ext_key", "hint")
+    full = F.col("akey").isNotNull() & ~F.col("short")
+    if across:
+        a, b = (slim.where(F.col("number").isNotNull()).select(F.col("id").alias(f"id{x}"), F.col("src").alias(f"src{x}"), "family", "town", "number") for x in "ab")
+        same = a.join(b, ["family", "town", "number"]).where((F.col("srca") != F.col("srcb")) & (F.col("ida") < F.col("idb"))).select("ida", "idb")
+        one_side = slim
+    else:
+        stars = []
+        for rows, keys in ((slim.where(full), ["family", "variant", "akey"]), (slim.where(F.col("ext_key").isNotNull()), ["src", "ext_key"])):
+            first = rows.groupBy(*keys).agg(F.min("id").alias("ida"))
+            stars.append(rows.select(F.col("id").alias("idb"), *keys).join(first, keys).where("ida < idb").select("ida", "idb"))
+        heads = slim.where(full).groupBy("family", "variant", "akey").agg(F.min("id").alias("ida"), F.min("town").alias("town"), F.min("number").alias("number")).drop("variant", "akey")
+        free = slim.where(~full & F.col("number").isNotNull()).select(F.col("id").alias("idb"), "family", "town", "number")
+        stars.append(heads.join(free, ["family", "town", "number"]).select(F.least("ida", "idb").alias("ida"), F.greatest("ida", "idb").alias("idb")))
+        same = stars[0].unionByName(stars[1]).unionByName(stars[2])
+        one_side = slim.where(~full)
+    at = F.col("lat").isNotNull()
+    near = points_near_points(
+        slim.where(at).select(F.col("id").alias("p"), "family", "lat", "lon"), one_side.where(at).select(F.col("id").alias("t"), "family", "lat", "lon", F.lit(COMPARE_MILES).alias("radius")), "p", "t", "radius", "lat", "lon", refine=0, by="family"
+    )
+    src = slim.select("id", "src")
+    if across:
+        near = near.join(src.withColumnsRenamed({"id": "p", "src": "srcp"}), "p").join(src.withColumnsRenamed({"id": "t", "src": "srct"}), "t").where(F.col("srcp") != F.col("srct"))
     near = near.where(F.col("p") != F.col("t")).select(F.least("p", "t").alias("ida"), F.greatest("p", "t").alias("idb"))
-    told = slim.where(F.col("address_key").isNull() & F.col("hint").isNotNull()).select(F.col("id").alias("t"), F.col("src").alias("srct"), "family", F.regexp_extract("hint", r"([^-]+)-\d+$", 1).alias("last"), F.regexp_extract("hint", r"-(\d+)$", 1).alias("number"))
-    named = slim.where(F.col("address_key").isNotNull()).select(F.col("id").alias("p"), "src", "family", "last", "number")
-    told = told.join(named, ["family", "last", "number"]).where(F.col("src") != F.col("srct")).select(F.least("p", "t").alias("ida"), F.greatest("p", "t").alias("idb"))
+    told = slim.where(F.col("akey").isNull() & F.col("hint").isNotNull()).select(F.col("id").alias("t"), F.col("src").alias("srct"), "family", F.regexp_extract("hint", r"([^-]+)-\d+$", 1).alias("last"), F.regexp_extract("hint", r"-(\d+)$", 1).alias("number"))
+    named = slim.where(F.col("akey").isNotNull()).select(F.col("id").alias("p"), "src", "family", F.element_at(F.split("town", " "), -1).alias("last"), "number")
+    told = told.join(named, ["family", "last", "number"]).where((F.col("src") != F.col("srct")) if across else (F.col("p") != F.col("t"))).select(F.least("p", "t").alias("ida"), F.greatest("p", "t").alias("idb"))
     return same.unionByName(near).unionByName(told).distinct()
 
 
 def _posteriors(voted: DataFrame, rounds: int) -> tuple[DataFrame, LabelModel]:
     k = len(FUNCTIONS)
-    rows = voted.groupBy(*FUNCTIONS).agg(F.count("*").alias("n")).collect()  # at most 3**7 rows, whatever the data
+    rows = voted.groupBy(*FUNCTIONS).agg(F.count("*").alias("n")).collect()  # at most 3**8 rows, whatever the data
     votes = np.array([[r[f] for f in FUNCTIONS] for r in rows], dtype=int).reshape(-1, k)
-    model = LabelModel(k, rounds).fit(votes, np.array([r["n"] for r in rows]))
+    model = LabelModel(k, rounds, lean=(LEAN_OTHER, LEAN_SAME)).fit(votes, np.array([r["n"] for r in rows]))
     p = model.posterior(votes) if len(rows) else []
     table = voted.sparkSession.createDataFrame([(*map(int, v), float(x)) for v, x in zip(votes, p)], ", ".join(f"{f} int" for f in FUNCTIONS) + ", confidence double")
     return table, model
 
 
-def link(described: DataFrame, addresses: DataFrame, threshold: float = 0.5, rounds: int = 60) -> DataFrame:
-    """(ida, idb, confidence): pairs of records that are the same thing, smaller id first, with the model's confidence.
+def voted_pairs(placed: DataFrame, across: bool = True) -> DataFrame:
+    """Candidate pairs with their votes, miles, whose address is missing (free) and the address of the other (at)."""
+    full = placed.select("id", F.struct(*_FEATURES).alias("x"))
+    pairs = candidates(placed, across).join(full.select(F.col("id").alias("ida"), F.col("x").alias("a")), "ida").join(full.select(F.col("id").alias("idb"), F.col("x").alias("b")), "idb")
+    lone = F.when(F.col("a.akey").isNull() & F.col("b.akey").isNotNull(), F.col("ida")).when(F.col("b.akey").isNull() & F.col("a.akey").isNotNull(), F.col("idb"))
+    return vote(pairs).select("ida", "idb", *FUNCTIONS, "miles", lone.alias("free"), F.when(lone.isNotNull(), F.coalesce("a.akey", "b.akey")).alias("at"))
 
-    described: from ``describe``; addresses: (id, address_key, number, town).  Every candidate pair is voted on by the functions
-    of FUNCTIONS; the label model, fitted to the counts of the vote patterns, gives each pattern a posterior.  Pairs from the
-    threshold on are links, but for an exact check: two full brands, addresses, towns or positions that differ are never one
-    thing, a link that rests on a web address alone must not have branch labels that differ, and a record without an address belongs to one address at most, the one of greatest confidence, then of the nearest position.
-    """
-    d = cut(described.join(addresses.select("id", "address_key", F.col("number"), "town").dropDuplicates(["id"]), "id", "left"))
-    pairs = candidates(d)
-    full = d.select("id", F.struct(*[F.col(c) for c in COLUMNS if c != "id"]).alias("x"))
-    # an id given twice with different values is described by one of them
-    full = full.groupBy("id").agg(F.min("x").alias("x"))
-    pairs = pairs.join(full.select(F.col("id").alias("ida"), F.col("x").alias("a")), "ida").join(full.select(F.col("id").alias("idb"), F.col("x").alias("b")), "idb")
-    voted = cut(vote(pairs).select("ida", "idb", *FUNCTIONS, "miles", F.col("a.address_key").alias("ka"), F.col("b.address_key").alias("kb")))
+
+def scored(voted: DataFrame, rounds: int = 60, confidence: Column | None = None) -> DataFrame:
+    """Votes with the model's confidence: the posterior of the pair's pattern of votes.  confidence: a column to put in its place
+    (for tests of what the model decides)."""
     table, _ = _posteriors(voted, rounds)
-    seen = (F.col("address") == 1) | (F.col("position") == 1) | (F.col("key") == 1)
-    sound = (F.col("brand") >= 0) & (F.col("address") >= 0) & (F.col("town") >= 0) & (F.col("position") >= 0) & (seen | (F.col("label") >= 0))
-    links = voted.join(F.broadcast(table), list(FUNCTIONS)).where((F.col("confidence") >= threshold) & sound)
-    # the one address of a record without an address; none that lies elsewhere by another of its records
-    free = F.when(F.col("ka").isNull() & F.col("kb").isNotNull(), F.col("ida")).when(F.col("kb").isNull() & F.col("ka").isNotNull(), F.col("idb"))
-    away = voted.where(F.col("position") < 0).select(free.alias("_free"), F.coalesce("ka", "kb").alias("_k")).where(F.col("_free").isNotNull()).distinct()
-    links = links.withColumn("_free", free).withColumn("_k", F.coalesce("ka", "kb")).join(away.withColumn("_away", F.lit(True)), ["_free", "_k"], "left")
-    links = links.where(F.col("_away").isNull()).drop("_away", "_k", "_free")
-    free = links.where(F.col("ka").isNull() != F.col("kb").isNull())
-    free = free.select(F.when(F.col("ka").isNull(), F.col("ida")).otherwise(F.col("idb")).alias("_free"), F.coalesce("ka", "kb").alias("_k"), "key", "confidence", "label", "miles")
-    best = free.groupBy("_free").agg(F.max_by("_k", F.struct("key", F.round("confidence", 3), "label", -F.coalesce("miles", F.lit(9.0)), "_k")).alias("_best"))
-    links = links.withColumn("_free", F.when(F.col("ka").isNull() & F.col("kb").isNotNull(), F.col("ida")).when(F.col("kb").isNull() & F.col("ka").isNotNull(), F.col("idb")))
-    links = links.join(best, "_free", "left").where(F.col("_free").isNull() | (F.coalesce("ka", "kb") == F.col("_best")))
-    return links.select("ida", "idb", "confidence")
+    return voted.join(F.broadcast(table if confidence is None else table.withColumn("confidence", confidence)), list(FUNCTIONS))
 
 
-def groups(described: DataFrame, addresses: DataFrame, links: DataFrame, same_table: bool = True) -> DataFrame:
-    """(id, component): records joined by links, and records of one table that share brand and address or an external key."""
-    d = described.select("id", "src", "family", "variant", "short", "ext_key").join(addresses.select("id", "address_key").dropDuplicates(["id"]), "id", "left").distinct()
-    edges = links.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
-    if same_table:
-        for cols, rows in ((["src", "family", "variant", "address_key"], d.where(F.col("address_key").isNotNull() & ~F.col("short"))), (["src", "ext_key"], d.where(F.col("ext_key").isNotNull()))):
-            low = rows.groupBy(*cols).agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1")
-            edges = edges.unionByName(rows.select(F.col("id").alias("a"), *cols).join(low, cols).select("a", "b"))
-    return connected_components(edges).select(F.col("node").alias("id"), "component")
+def link(placed: DataFrame, across: bool = True, threshold: float = 0.5, rounds: int = 60, confidence: Column | None = None) -> DataFrame:
+    """(ida, idb, confidence): pairs of records that are the same thing, smaller id first, with the model's confidence.
+
+    placed: from ``with_places``.  Every candidate pair is voted on by the functions of FUNCTIONS (brand, whole address, street,
+    house number, town, position, branch label, external key), each for same, different or nothing.  The label model, fitted to
+    the counts of the vote patterns, gives each pattern a posterior; the pairs from the threshold on are links.  Which
+    combinations of votes suffice, and which objections outweigh them, is learned.
+
+    A record without an address lies at one address at most: if its links name several, the one of greatest confidence stands,
+    then the nearest.  Null ids are left out; an empty table gives no rows."""
+    voted = cut(voted_pairs(placed, across))
+    links = scored(voted, rounds, confidence).where(F.col("confidence") >= threshold)
+    best = links.where(F.col("free").isNotNull()).groupBy("free").agg(F.max_by("at", F.struct(F.round("confidence", 6), F.col("label") + F.col("key"), -F.coalesce("miles", F.lit(9.0)), "at")).alias("_best"))
+    links = links.join(best, "free", "left").where(F.col("free").isNull() | (F.col("at") == F.col("_best")))
+    return links.select("ida", "idb", "confidence")
 
 
-def linked_pairs(described: DataFrame, addresses: DataFrame, links: DataFrame) -> DataFrame:
-    """(id_a, id_b), smaller id first: records of different tables in one group, whose brands and addresses do not differ."""
-    g = groups(described, addresses, links)
-    d = described.select("id", "src", "variant", "short").dropDuplicates(["id"]).join(addresses.select("id", "address_key").dropDuplicates(["id"]), "id", "left").join(g, "id")
-    a, b = (d.select("component", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "src", "variant", "short", "address_key")]) for x in "ab")
-    pairs = a.join(b, "component").where((F.col("id_a") < F.col("id_b")) & (F.col("src_a") != F.col("src_b")))
-    fits = (F.col("variant_a") == F.col("variant_b")) | F.col("short_a") | F.col("short_b")
-    here = F.coalesce(F.col("address_key_a") == F.col("address_key_b"), F.lit(True))
-    return pairs.where(fits & here).select("id_a", "id_b").distinct()
+def groups(links: DataFrame) -> DataFrame:
+    """(id, component): records joined by links, directly or through others; the component is its smallest id."""
+    return connected_components(links.select(F.col("ida").alias("a"), F.col("idb").alias("b"))).select(F.col("node").alias("id"), "component")
 
 
-__all__ = ["FUNCTIONS", "candidates", "describe", "groups", "link", "linked_pairs", "vote"]
+__all__ = ["FUNCTIONS", "candidates", "describe", "groups", "link", "scored", "vote", "voted_pairs", "with_places"]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ambitus.session import cut
+
 # Letters of other scripts that are drawn like Latin ones, in the order of their code points.
 LOOKALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
@@ -27,13 +31,20 @@ def plain_map() -> dict[str, str]:
     return wide | {c: " " for c in BLANKS} | LOOKALIKES
 
 
+def invisible_chars() -> str:
+    """Every character of INVISIBLE."""
+    out = []
+    for low, high in re.findall(r"\\[ux]\{?([0-9A-F]+)\}?(?:-\\[ux]\{?([0-9A-F]+)\}?)?", INVISIBLE):
+        out += map(chr, range(int(low, 16), int(high or low, 16) + 1))
+    return "".join(out)
+
+
 def plain_form(text: Column) -> Column:
     """The text with look-alikes, full-width forms, ligatures and blanks in their plain form and without invisible characters.
     Accents stay as they are: composed and decomposed ones are made equal by the collation."""
     m = plain_map()
     ascii_only = F.octet_length(text) == F.length(text)  # such a text is plain already
-    out = F.regexp_replace(text, INVISIBLE, "")
-    out = F.translate(out, "".join(m), "".join(m.values()))
+    out = F.translate(text, "".join(m) + invisible_chars(), "".join(m.values()))  # one pass; what has no counterpart is dropped
     for a, b in LIGATURES.items():
         out = F.replace(out, F.lit(a), F.lit(b))
     return F.when(ascii_only, text).otherwise(out)
@@ -42,7 +53,8 @@ def plain_form(text: Column) -> Column:
 def skeleton(form: Column) -> Column:
     """A digest that texts equal under the collation share: only the unaccented ASCII letters and digits of the plain form."""
     ascii_only = F.octet_length(form) == F.length(form)
-    bare = F.regexp_replace(F.when(ascii_only, form).otherwise(F.regexp_replace(form, r"[^\p{M}]\p{M}+", "")), "[^A-Za-z0-9]+", "")
+    plain = F.regexp_replace(F.regexp_replace(form, r"[^\p{M}]\p{M}+", ""), r"[^\x00-\x7F]+", "")
+    bare = F.translate(F.when(ascii_only, form).otherwise(plain), "".join(chr(c) for c in range(1, 128) if not chr(c).isalnum()), "")
     return F.xxhash64(bare, F.length(bare))
 
 
@@ -55,17 +67,17 @@ def lookalike_classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     their skeleton with another string.  Null texts, and texts with nothing visible, are in no class; repeated rows count once.
     """
     d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
-    d = d.withColumn("_plain", plain_form(F.col("_text")))
-    d = d.where(F.col("_plain").rlike(r"[^\s\p{C}]"))
-    marked = d.select("_id", "_plain", F.xxhash64("_text", F.length("_text")).alias("_raw"), skeleton(F.col("_plain")).alias("_skel"))
+    shown = d.withColumn("_plain", plain_form(F.col("_text"))).where(F.col("_plain").rlike(r"[^\s\p{C}]"))
+    marked = cut(shown.select("_id", F.xxhash64("_text", F.length("_text")).alias("_raw"), skeleton(F.col("_plain")).alias("_skel")))  # the only pass over all texts
     several = marked.groupBy("_skel").agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi")).where(F.col("_lo") != F.col("_hi")).select("_skel")
-    cand = marked.join(several, "_skel", "left_semi")
-    # one row a string first: copies never meet in the grouping by whole texts
-    strings = cand.groupBy("_raw").agg(F.min("_id").alias("_first"), F.min("_plain").alias("_plain"))
-    collated = strings.select("_raw", "_first", F.collate(F.col("_plain"), "UNICODE").alias("_form"))
-    classes = collated.groupBy("_form").agg(F.min("_first").alias("_class"), F.collect_set("_raw").alias("_members")).where(F.size("_members") > 1)
-    members = classes.select("_class", F.explode("_members").alias("_raw"))
-    return cand.select("_id", "_raw").distinct().join(members, "_raw").select(F.col("_id").alias(doc_id), F.col("_class").alias("class_id"), F.col("_raw").alias("member"))
+    cand = marked.join(several, "_skel", "left_semi").select("_id", "_raw").distinct()
+    # one row a string: copies never meet in the grouping by whole texts
+    firsts = cand.groupBy("_raw").agg(F.min("_id").alias("_first"))
+    strings = firsts.join(d.select(F.col("_id").alias("_first"), F.col("_text")), "_first").where(F.xxhash64("_text", F.length("_text")) == F.col("_raw"))
+    collated = strings.groupBy("_raw", "_first").agg(F.min("_text").alias("_text")).select("_raw", "_first", F.collate(plain_form(F.col("_text")), "UNICODE").alias("_form"))
+    heads = collated.groupBy("_form").agg(F.min("_first").alias("_class"), F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi")).where(F.col("_lo") != F.col("_hi")).select("_form", "_class")
+    members = collated.select("_raw", "_form").join(heads, "_form").select("_class", "_raw")
+    return cand.join(members, "_raw").select(F.col("_id").alias(doc_id), F.col("_class").alias("class_id"), F.col("_raw").alias("member"))
 
 
 def lookalike_pairs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

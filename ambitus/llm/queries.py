@@ -33,13 +33,14 @@ def p1_address_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gym_records(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = ("master", "official", "shots")) -> DataFrame:
-    """(id, src, brand, name, lat, lon, ext_key, hint) of the gym records of the tables named."""
+    """(id, src, brand, name, typed, lat, lon, ext_key, hint) of the gym records of the tables named."""
     none = F.lit(None).cast("string")
     nowhere = F.lit(None).cast("double")
+    yes, no = F.lit(True).alias("typed"), F.lit(False).alias("typed")
     each = {
-        "master": read(spark, sf_dir, "gyms_master").select(F.col("record_id").alias("id"), F.lit("master").alias("src"), F.col("query").alias("brand"), "name", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("placeId").alias("ext_key"), none.alias("hint")),
-        "official": read(spark, sf_dir, "official_brand_records").select(F.col("record_id").alias("id"), F.lit("official").alias("src"), "brand", "name", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), none.alias("ext_key"), F.lower("sourceUrl").alias("hint")),
-        "shots": read(spark, sf_dir, "gym_screenshots").select(F.col("record_id").alias("id"), F.lit("shots").alias("src"), "brand", F.col("location_name").alias("name"), nowhere.alias("lat"), nowhere.alias("lon"), none.alias("ext_key"), none.alias("hint")),
+        "master": read(spark, sf_dir, "gyms_master").select(F.col("record_id").alias("id"), F.lit("master").alias("src"), F.col("query").alias("brand"), "name", no, F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("placeId").alias("ext_key"), none.alias("hint")),
+        "official": read(spark, sf_dir, "official_brand_records").select(F.col("record_id").alias("id"), F.lit("official").alias("src"), "brand", "name", no, F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), none.alias("ext_key"), F.lower("sourceUrl").alias("hint")),
+        "shots": read(spark, sf_dir, "gym_screenshots").select(F.col("record_id").alias("id"), F.lit("shots").alias("src"), "brand", F.col("location_name").alias("name"), yes, nowhere.alias("lat"), nowhere.alias("lon"), none.alias("ext_key"), none.alias("hint")),
     }
     out = each[tables[0]]
     for t in tables[1:]:
@@ -47,55 +48,64 @@ def gym_records(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = ("ma
     return out
 
 
-def _described(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _placed(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The described records with their places, and the address keys."""
     brands = read(spark, sf_dir, "brand_list")
     used = canonical.usage(read(spark, sf_dir, "gyms_master"), "query", brands, "brand_id", "brand")
-    described = cut(linkage.describe(gym_records(spark, sf_dir, tables), brands, "brand_id", "brand", canonical.reference_slices(brands, "brand_id", "brand", used)))
     keys = cut(addresses.address_keys(address_records(spark, sf_dir)))
-    return described, keys, linkage.link(described, keys)
+    described = linkage.describe(gym_records(spark, sf_dir, tables), canonical.reference_of(brands, "brand_id", "brand", used))
+    return cut(linkage.with_places(described, keys)), keys
+
+
+def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.link(_placed(spark, sf_dir, ("master", "official", "shots"))[0])
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records of different tables that are the same gym."""
-    described, keys, links = _described(spark, sf_dir, ("master", "official", "shots"))
-    return linkage.linked_pairs(described, keys, links).select(F.col("id_a").alias("record_id_a"), F.col("id_b").alias("record_id_b"))
+    return _links(spark, sf_dir).select(F.col("ida").alias("record_id_a"), F.col("idb").alias("record_id_b"))
 
 
 def p2_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directly linked pairs of records of different tables, with the confidence of the label model."""
-    described, _, links = _described(spark, sf_dir, ("master", "official", "shots"))
-    src = described.select("id", "src").distinct()
-    a, b = (src.select(F.col("id").alias(f"id{x}"), F.col("src").alias(f"src{x}")) for x in "ab")
-    return links.join(a, "ida").join(b, "idb").where("srca <> srcb").select(F.col("ida").alias("record_id_a"), F.col("idb").alias("record_id_b"), F.round("confidence", 6).alias("confidence"))
+    """The same pairs with the confidence of the label model."""
+    return _links(spark, sf_dir).select(F.col("ida").alias("record_id_a"), F.col("idb").alias("record_id_b"), F.round("confidence", 6).alias("confidence"))
 
 
 def _gyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gyms_master with the gym each record belongs to and what a survivor is judged on."""
-    described, keys, links = _described(spark, sf_dir, ("master",))
-    gym = linkage.groups(described, keys, links)
+    placed, keys = _placed(spark, sf_dir, ("master",))
+    gym = linkage.groups(linkage.link(placed, across=False))
     m = read(spark, sf_dir, "gyms_master")
     trust = read(spark, sf_dir, "source_types").select("sourceQueryType", "trust_rank").dropDuplicates(["sourceQueryType"])
     present = lambda c: F.when(~canonical.missing(F.col(c)), F.col(c))
     has_street = keys.select(F.col("id").alias("record_id"), F.lit(True).alias("has_address")).distinct()
     out = m.join(gym.withColumnRenamed("id", "record_id"), "record_id").join(trust, "sourceQueryType", "left").join(has_street, "record_id", "left")
-    return cut(out.select(
+    return out.select(
         "record_id", F.col("component").alias("gym"), present("name").alias("name"), F.when(F.col("has_address"), F.col("formattedAddress")).alias("formattedAddress"), present("query").alias("query"),
         F.coalesce("has_address", F.lit(False)).alias("has_address"), (~canonical.missing(F.col("placeId"))).alias("has_place"), is_position("latitude", "longitude").alias("has_position"),
         (F.coalesce(F.size(F.array_compact("searchNames")), F.lit(0)) > 0).alias("has_names"), "types", "gathered_at", F.col("trust_rank").cast("long").alias("trust_rank"),
-    ).distinct())
+    ).distinct()
+
+
+#: The fields of a gym record: texts, and those that a survivor is judged on.
+JUDGED = {"texts": ["name", "formattedAddress", "query"], "filled": ["has_place", "has_address", "has_position", "has_names"], "sets": ["types"], "latest": ["gathered_at"], "lowest": ["trust_rank"]}
+
+
+
+def _trust():
+    """Votes of a record: more for a more trusted source."""
+    return F.lit(1.0) / (F.lit(1.0) + F.coalesce("trust_rank", F.lit(9)))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of gyms with several records, but for the survivor, with the survivor."""
-    weight = F.lit(1.0) / (F.lit(1.0) + F.coalesce("trust_rank", F.lit(9)))
-    out = survivor.survivors(_gyms(spark, sf_dir), "gym", "record_id", ["name", "formattedAddress", "query"], ["has_place", "has_address", "has_position", "has_names"], ["types"], ["gathered_at"], ["trust_rank"], weight)
+    out = survivor.survivors(_gyms(spark, sf_dir), "gym", "record_id", **JUDGED, weight=_trust())
     return out.where(F.col("record_id") != F.col("survivor")).select("record_id", F.col("survivor").alias("survivor_id")).distinct()
 
 
 def p4_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each gym's values closest to the consensus of its records."""
-    weight = F.lit(1.0) / (F.lit(1.0) + F.coalesce("trust_rank", F.lit(9)))
-    return survivor.merged(_gyms(spark, sf_dir), "gym", ["name", "formattedAddress", "query"], weight)
+    return survivor.merged(_gyms(spark, sf_dir), "gym", "record_id", JUDGED["texts"], _trust())
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

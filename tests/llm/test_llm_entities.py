@@ -1,7 +1,9 @@
+import json
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from ambitus.llm import addresses, canonical, survivor
+from ambitus.llm import addresses, canonical, linkage, queries, survivor
 from ambitus.llm.address_parse import Gazetteer, deletes, parse, within_one
 from ambitus.llm.canonical_match import ReferenceIndex, distance
 from ambitus.llm.label_model import LabelModel
@@ -42,15 +44,21 @@ def test_address_keys(spark):
     want = {(1, 2), (1, 3), (2, 3)}
     assert {tuple(r) for r in addresses.same_address_pairs(addresses.address_keys(df)).collect()} == want
     # the way of gazetteers beyond the bound of the broadcast
-    joined = addresses._parse_joined(df, *_learned(df), addresses.parse_records(df).schema)
     plain = addresses.parse_records(df)
-    assert {tuple(r) for r in joined.collect()} == {tuple(r) for r in plain.collect()}
+    assert {tuple(r) for r in addresses.parse_records(df, 1).collect()} == {tuple(r) for r in plain.collect()}
     assert addresses.address_keys(df.limit(0)).collect() == []
 
 
-def _learned(df):
-    zips, regions, countries = addresses.learn_places(df)
-    return zips, regions.collect(), countries.collect()
+def test_both_gazetteers_give_the_same_parts(spark):
+    """Towns of three letters, of four words and of more than 40 letters, with and without a postcode; and the test tables."""
+    towns = [("Rye", "NY", "10580"), ("Lake of the Woods", "QB", "20001"), ("Llanfairpwllgwyngyllgogerychwyrndrobwllll", "WA", "30001"), ("Marby", "HD", "10000")]
+    rows = [(i, f"{i + 10} Oak Mill St, {t}, {r} {z}", None, None, None, "x") for i, (t, r, z) in enumerate(towns * 3)]
+    rows += [(100 + i, f"{i + 10} Oak Mill Street {t} {r}", None, None, None, "x") for i, (t, r, _) in enumerate(towns)] + [(200 + i, f"{i + 10} Oak Ml St", t, r, None, "x") for i, (t, r, _) in enumerate(towns)] + [(300, "5 Oak Mill St, Mrby", None, None, None, "x"), (301, "", None, None, None, "x")]
+    for df in (records(spark, rows), queries.address_records(spark, "/root/testdata/sf0.001")):
+        plain = {tuple(r) for r in addresses.parse_records(df).collect()}
+        assert {tuple(r) for r in addresses.parse_records(df, 1).collect()} == plain
+    found = {r["id"]: r["address_key"] for r in addresses.address_keys(records(spark, rows)).collect()}
+    assert len({found[i] for i in (0, 100, 200)}) == len({found[i] for i in (1, 101, 201)}) == len({found[i] for i in (2, 102, 202)}) == 1 and 300 in found
 
 
 def test_reference_matching():
@@ -68,9 +76,15 @@ def test_map_to_reference(spark):
     assert {(r["k"], r["id"]) for r in canonical.map_to_reference(v, "k", "v", ref, "id", "t", "n").collect()} == want
     assert {(r["v"], r["n"]) for r in canonical.misses(v, "v", ref, "id", "t").collect()} == {("Sawdust", 1)}
     assert {r["id"] for r in canonical.map_to_reference(v, "k", "v", ref.limit(0), "id", "t").collect()} == {0}
-    several = canonical.reference_slices(ref, "id", "t", None, 2, 1)
-    got = v.where("v = 'temporal gmy'").select(canonical.nearest_entry(F.col("v"), several, spark)["entry"].alias("e")).first()["e"]
-    assert len(several) >= 1 and got == 7
+
+
+def test_long_lists_give_the_same_answers(spark):
+    """The list as tables of keys and families (here beyond ten entries) answers as the broadcast index does."""
+    sf = "/root/testdata/sf0.01"
+    v, ref = spark.read.parquet(f"{sf}/gyms_master.parquet"), spark.read.parquet(f"{sf}/brand_list.parquet")
+    v = v.unionByName(v.limit(4).withColumn("query", F.array(*[F.lit(x) for x in ("Acrobel", "the surgemont gym", "the kineta gym", None)])[F.pmod("record_id", F.lit(4)).cast("int")]).withColumn("record_id", F.col("record_id") + 10**9))
+    short, long = (sorted(map(tuple, canonical.map_to_reference(v, "record_id", "query", ref, "brand_id", "brand", "name", max_indexed=n).collect())) for n in (1000, 10))
+    assert short == long and len(short) > 300
 
 
 def test_label_model_learns_accuracies():
@@ -96,12 +110,75 @@ def test_alignment_and_consensus():
 def test_survivors(spark):
     rows = [
         (1, 10, "North Gym", True, ["a"], 5, 1), (1, 11, "North Gym Annex", True, ["a", "b"], 7, 1), (1, 12, None, False, ["b"], None, None), (1, 12, None, False, ["b"], None, None),
-        (2, 20, "A B C", True, None, 3, 2), (2, 21, "A B C", False, [], 9, 2), (2, 22, "A X", True, [], 1, 2), (3, 30, "Solo", True, [], 1, 1), (None, 40, "x", True, [], 1, 1),
+        (2, 20, "A B C", True, None, 3, 2), (2, 21, "A B C", False, [], 9, 2), (2, 22, "A X", True, [], 1, 2), (3, 30, "Solo", True, [], 1, 1), (None, 40, "x", True, [], 1, 1), (3, None, "x", True, [], 1, 1),
     ]
-    df = spark.createDataFrame(rows, "g long, k long, name string, full boolean, types array<string>, at long, trust long").selectExpr("*", "1 AS survivor", "2 AS distance")
-    got = {(r["k"], r["survivor"]) for r in survivor.survivors(df, "g", "k", ["name"], ["full"], ["types"], ["at"], ["trust"]).collect()}
-    assert got == {(10, 11), (11, 11), (12, 11), (20, 21), (21, 21), (22, 21)}
-    assert {r["g"]: r["name"] for r in survivor.merged(df, "g", ["name"]).collect()} == {1: "North Gym Annex", 2: "A B C", 3: "Solo"}
-    values = spark.createDataFrame([(1, "f", f"common words {i}", 1.0) for i in range(40)], "group long, field string, value string, weight double")
-    assert survivor.field_consensus(values, values_per_part=6).first()["tokens"][:2] == ["common", "words"]
-    assert survivor.survivors(df.limit(0), "g", "k", ["name"], ["full"], ["types"], ["at"], ["trust"]).collect() == []
+    df = spark.createDataFrame(rows, "g long, k long, name string, full boolean, types array<string>, at long, trust long").selectExpr("*", "1 AS survivor", "2 AS distance", "3 AS weight", "4 AS agreed")
+    fields = dict(texts=["name"], filled=["full"], sets=["types"], latest=["at"], lowest=["trust"])
+    got = {(r["k"], r["survivor"]) for r in survivor.survivors(df, "g", "k", **fields).collect()}
+    # 20 and 21 differ from the best of their group in one judged field each; the smaller key stays
+    assert got == {(10, 11), (11, 11), (12, 11), (20, 20), (21, 20), (22, 20)}
+    parts = {(r["k"], r["survivor"]) for r in survivor.survivors(df, "g", "k", **fields, records_per_part=1).collect()}
+    assert parts == got
+    assert {r["g"]: r["name"] for r in survivor.merged(df, "g", "k", ["name"]).collect()} == {1: "North Gym", 2: "A B C", 3: "Solo"}
+    assert survivor.survivors(df.limit(0), "g", "k", **fields).collect() == []
+
+
+def test_consensus_of_a_large_group_by_parts(spark):
+    df = spark.createDataFrame([(1, i, f"common words {i}", 1.0) for i in range(40)], "group long, key long, name string, weight double")
+    agreed = json.loads(survivor.group_consensus(df, survivor.Fields(["name"]), 6).first()["agreed"])
+    assert agreed["name"][:2] == ["common", "words"]
+
+
+def test_consensus_decides_the_survivor(spark):
+    """p4_found's rows come from the consensus: with an empty one in its place other records survive.  Where a record is beaten by
+    no other of its group in any judged field, the consensus picks it."""
+    sf = "/root/testdata/sf0.01"
+    gyms = queries._gyms(spark, sf).cache()
+
+    def nothing(rows, fields, _):
+        empty = json.dumps({f: [] for f in fields.names} | {f: None for f in (*fields.latest, *fields.lowest)})
+        return rows.select("group").distinct().withColumn("agreed", F.lit(empty))
+
+    got, blank = ({(r["record_id"], r["survivor"]) for r in survivor.survivors(gyms, "gym", "record_id", **queries.JUDGED, weight=queries._trust(), **kw).collect()} for kw in ({}, {"agree": nothing}))
+    assert len(got - blank) > len(got) / 2
+    rows = {r["record_id"]: r for r in gyms.collect()}
+    of = {}
+    for k, s in got:
+        of.setdefault(s, []).append(rows[k])
+
+    def best(r):
+        flags = tuple(r[f] for f in queries.JUDGED["filled"])
+        return (*flags, frozenset(r["types"] or []), r["gathered_at"].timestamp() if r["gathered_at"] else -1.0, -(r["trust_rank"] or 99))
+
+    right = 0
+    for s, members in of.items():
+        mine = best(rows[s])
+        beats = lambda x, y: any((not b <= a) if isinstance(a, frozenset) else b > a for a, b in zip(y, x))
+        right += not any(beats(best(m), mine) for m in members)
+    assert right > 0.98 * len(of)
+
+
+def test_posterior_decides_the_links(spark):
+    """With one confidence for every pattern of votes the links differ: the model rejects what has objections; every pair found
+    has a confidence of its own pattern."""
+    sf = "/root/testdata/sf0.01"
+    placed = queries._placed(spark, sf, ("master", "official", "shots"))[0]
+    got, all_of_them = ({(r["ida"], r["idb"]) for r in linkage.link(placed, confidence=c).collect()} for c in (None, F.lit(0.9)))
+    assert got < all_of_them and len(all_of_them - got) > 0.02 * len(got)
+    links = {(r["record_id_a"], r["record_id_b"]): r["confidence"] for r in queries.p2_links(spark, sf).collect()}
+    assert set(links) == got and len(set(links.values())) > 5 and min(links.values()) >= 0.5
+
+
+def test_linkage_of_unusual_records(spark):
+    """Null ids, repeated rows, ids with two rows, nothing filled, one side empty."""
+    schema = "id long, src string, brand string, name string, typed boolean, lat double, lon double, ext_key string, hint string"
+    rows = [(1, "m", "Temporal Gym", None, False, 10.0, 20.0, "k1", None), (1, "m", "Temporal Gym", None, False, 10.0, 20.0, "k1", None), (2, "o", "temporal gmy", None, False, 10.0, 20.0, None, None), (3, "o", "Kineta Center", None, False, 10.0, 20.0, None, None), (4, "o", None, None, False, None, None, None, None), (None, "o", "Temporal Gym", None, False, 10.0, 20.0, None, None), (5, "m", "Temporal Gym", None, False, 0.0, 0.0, "k1", None)]
+    ref = spark.createDataFrame([(7, "Temporal Gym"), (8, "Kineta Center")], "id long, t string")
+    keys = spark.createDataFrame([], "id long, address_key string, number string, name string, town string, region string")
+    for limit in (1000, 1):
+        d = linkage.describe(spark.createDataFrame(rows, schema), canonical.reference_of(ref, "id", "t", None, 2, limit))
+        assert {(r["id"], r["variant"]) for r in d.collect()} == {(1, "7"), (2, "7"), (3, "8"), (5, "7")}
+    placed = linkage.with_places(d, keys)
+    assert {(r["ida"], r["idb"]) for r in linkage.candidates(placed).collect()} == {(1, 2), (2, 5)}
+    assert {(r["ida"], r["idb"]) for r in linkage.candidates(placed, across=False).collect()} >= {(1, 5)}
+    assert linkage.link(placed.limit(0)).collect() == []

@@ -48,6 +48,23 @@ def test_leaks_same_as_brute_force(spark):
     assert leakage.find_leaks(D, "doc_id", "text", I.limit(0), "item_id", ["prompt"]).count() == 0
 
 
+def test_long_tags_and_comments():
+    passage = " ".join(f"w{i}" for i in range(12))
+    link = passage.replace("w5", f'<a href="{"x" * 5_000}">w5</a>').replace("w8", f"<!-- {'y ' * 3_000} -->w8")
+    assert leakage.words(link) == passage.split()
+    assert leakage.words("a <!-- b") == ["a", "b"] and leakage.words("<" * 200_000 + "z") == ["z"] and leakage.words("<!--" * 100_000)[:1] == []
+
+
+def test_matches_by_portions(spark):
+    """However few matches are looked at together, and however small the shards, the same runs are found."""
+    items = [(i, f"do all of the following steps with great care and without any haste now {i} end", None) for i in range(30)]
+    docs = [(d, items[d % 30][1] + " other words " + items[(d * 7) % 30][1]) for d in range(40)]
+    tests = leakage.Passages([(i, "prompt", t) for i, t, _ in items], 12)
+    text = np.concatenate([np.array([tests.ids.get(w, 0) for w in leakage.words(t)] + [0], np.int32) for _, t in docs])
+    found = [sorted((int(q), int(a), int(n)) for part in leakage.search_shard(tests, text, k) for q, a, n in zip(*part)) for k in (1, 50, 10**7)]
+    assert found[0] == found[1] == found[2] and len(found[0]) >= 40 * 30
+
+
 def test_lookalikes(spark):
     long = "x" * 100_000
     rows = [(1, "Café de  1"), (2, "Café de  1"), (3, "Ｃafé de  1"), (4, "Cafe de  1"), (5, "café de  1"), (6, "C­afé de  1"), (7, "Café de  1"), (8, None), (9, ""), (10, "​"), (11, "Сafé de  1"), (12, "ﬁx"), (13, "fix"), (14, long), (15, long + "‍"), (2, "Café de  1"), (16, "Café de 1")]
