@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ambitus.session import cut
 
-MAX_ROUNDS = 40
-
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): every node of the edges with the smallest node of its component.
@@ -23,7 +21,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     e = cut(e.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     nodes = e.select("u").unionByName(e.select(F.col("v").alias("u"))).unionByName(alone).distinct()
     last = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
@@ -37,7 +35,5 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if (now["n"], now["h"]) == last:
             break
         last = (now["n"], now["h"])
-    else:
-        raise RuntimeError(f"components did not settle within {MAX_ROUNDS} rounds")
     found = e.groupBy("u").agg(F.min("v").alias("component"))
     return nodes.join(found, "u", "left").select(F.col("u").alias("node"), F.coalesce("component", "u").alias("component"))
