@@ -108,9 +108,8 @@ def with_places(described: DataFrame, addresses: DataFrame) -> DataFrame:
     the records of the same table and external key (if these name one address only) and from the records at the same address.
     own: whether the address is the record's own."""
     a = addresses.groupBy("id").agg(F.min(F.struct(F.col("address_key").alias("akey"), "number", F.col("name").alias("street"), "town")).alias("_a"))
-    d = described.join(a, "id", "left")
     placed = is_position("lat", "lon")
-    d = d.withColumn("_at", F.when(placed, F.struct("lat", "lon"))).drop("lat", "lon")
+    d = cut(described.join(a, "id", "left").withColumn("_at", F.when(placed, F.struct("lat", "lon"))).drop("lat", "lon"))  # read several times
     of_key = d.where(F.col("ext_key").isNotNull()).groupBy("src", "ext_key").agg(F.min("_a").alias("_lo"), F.max("_a.akey").alias("_hi"), F.min("_at").alias("_kat"))
     of_key = of_key.select("src", "ext_key", F.when(F.col("_lo.akey") == F.col("_hi"), F.col("_lo")).alias("_ka"), "_kat")
     d = d.join(of_key, ["src", "ext_key"], "left").withColumn("own", F.col("_a").isNotNull())
