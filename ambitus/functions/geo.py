@@ -56,6 +56,8 @@ FACES = np.array(  # axes (x, y, z) of each face, z being its centre
     dtype=float,
 )
 MAX_LEVEL = 26
+#: Radius (as an angle) beyond which a circle is covered from the whole faces.
+WIDE = 0.35
 
 
 def unit_vectors(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
@@ -102,27 +104,42 @@ def _corner_vectors(face: np.ndarray, level: int, i: np.ndarray, j: np.ndarray,
     return p / np.linalg.norm(p, axis=1)[:, None]
 
 
-def cover_circles(lat: np.ndarray, lon: np.ndarray, radius_miles: float, refine: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Adaptive coverage of circles of one radius: (index of the circle, cell id, whether the cell lies wholly inside).
+def level_column(radius: Column, refine: int = 3) -> Column:
+    """The coarsest level of the coverage of a circle, as ``radius_levels`` has it."""
+    width = float(np.pi / 2 * EARTH_RADIUS_MILES)
+    level = F.floor(F.log2(F.lit(width) / F.greatest(2 * radius, F.lit(1e-6))))
+    return F.greatest(F.lit(0), F.least(level, F.lit(MAX_LEVEL - refine))).cast("int")
+
+
+def cover_circles(lat: np.ndarray, lon: np.ndarray, radius_miles: np.ndarray | float, refine: int = 3, coarse: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Adaptive coverage of circles: (index of the circle, cell id, whether the cell lies wholly inside).  The circles may differ
+    in radius but start from the same level, ``coarse``; by default that of the one radius.
 
     The cells of one circle do not overlap.  A cell that lies inside is not divided further; one that the edge of the circle
     crosses is divided down to the finest level; one outside is dropped."""
-    if not 0 <= radius_miles <= 1500:
-        raise ValueError("radius_miles must be between 0 and 1500")
-    rho = radius_miles / EARTH_RADIUS_MILES * (1 + 1e-9) + 1e-12
-    coarse, fine = radius_levels(radius_miles, refine)
+    radius = np.broadcast_to(np.asarray(radius_miles, float), np.shape(lat))
+    if not (radius >= 0).all():
+        raise ValueError("a radius must not be negative")
+    angle = np.minimum(radius / EARTH_RADIUS_MILES, np.pi)
+    rho = np.minimum(angle * (1 + 1e-9) + 1e-12, np.pi)
+    coarse = radius_levels(float(radius.max(initial=0.0)), refine)[0] if coarse is None else coarse
+    fine = coarse + refine
     n = 1 << coarse
     p = unit_vectors(lat, lon)
     parts = []
+    wide = np.flatnonzero(rho > WIDE)  # these start from all cells of the sphere: few, since their level is coarse
+    i, j = (g.ravel() for g in np.meshgrid(np.arange(n), np.arange(n), indexing="ij")) if len(wide) else (np.empty(0, np.int64),) * 2
+    for f in range(6 if len(wide) else 0):
+        parts.append((np.repeat(wide, len(i)), np.full(len(wide) * len(i), f), np.tile(i, len(wide)), np.tile(j, len(wide))))
     for f in range(6):
         x, y, z = (p @ FACES[f, k] for k in range(3))
-        near = np.flatnonzero(z > np.cos(np.arccos(1 / np.sqrt(3)) + rho) - 1e-12)
+        near = np.flatnonzero((rho <= WIDE) & (z > np.cos(np.arccos(1 / np.sqrt(3)) + np.minimum(rho, WIDE)) - 1e-12))
         if not len(near):
             continue
         x, y, z = x[near], y[near], z[near]
         lo, hi = [], []
         for c, other in ((x, y), (y, x)):  # a coordinate is a longitude around the other axis
-            spread = np.arcsin(np.minimum(1.0, np.sin(rho) / np.maximum(1e-9, np.sqrt(1 - np.minimum(1.0, other**2)))))
+            spread = np.arcsin(np.minimum(1.0, np.sin(rho[near]) / np.maximum(1e-9, np.sqrt(1 - np.minimum(1.0, other**2)))))
             at = np.arctan2(c, z)
             lo.append((at - spread) / (np.pi / 4))
             hi.append((at + spread) / (np.pi / 4))
@@ -138,15 +155,17 @@ def cover_circles(lat: np.ndarray, lon: np.ndarray, radius_miles: float, refine:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
     who, face, i, j = (np.concatenate(x) for x in zip(*parts))
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    reach = (2 * np.sin(radius_miles / EARTH_RADIUS_MILES / 2)) ** 2 * (1 - 1e-9)
+    reach = (2 * np.sin(angle / 2)) ** 2 * (1 - 1e-9)
+    beyond = 2 * np.sin((np.pi - rho) / 2)  # of a circle of more than a hemisphere the rest is a circle around the antipode
     for level in range(coarse, fine + 1):
         centre = p[who]
         corners = [_corner_vectors(face, level, i, j, a, b) for a in (0.0, 1.0) for b in (0.0, 1.0)]
-        inside = np.logical_and.reduce([((c - centre) ** 2).sum(axis=1) <= reach for c in corners])
+        inside = np.logical_and.reduce([((c - centre) ** 2).sum(axis=1) <= reach[who] for c in corners])
         middle = _corner_vectors(face, level, i, j, 0.5, 0.5)
         half = np.sqrt(np.maximum.reduce([((c - middle) ** 2).sum(axis=1) for c in corners]))
         away = np.sqrt(((middle - centre) ** 2).sum(axis=1))
-        touched = away <= 2 * np.sin(rho / 2) + half * (1 + 1e-9) + 1e-12
+        inside &= (rho[who] < np.pi / 2) | (np.sqrt(((middle + centre) ** 2).sum(axis=1)) > beyond[who] + half * (1 + 1e-9) + 1e-12)
+        touched = away <= 2 * np.sin(rho[who] / 2) + half * (1 + 1e-9) + 1e-12
         ids = cell_ids(level, face, i, j)
         out.append((who[inside], ids[inside], np.ones(inside.sum(), bool)))
         edge = touched & ~inside

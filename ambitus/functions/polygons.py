@@ -35,6 +35,53 @@ def capsule(a: np.ndarray, b: np.ndarray, r: float, quadrant: int = QUADRANT) ->
     return np.array(out)
 
 
+def line_pieces(points: np.ndarray, r: float, quadrant: int = QUADRANT) -> list[np.ndarray]:
+    """Convex pieces whose union is the buffer of a line; of a line without length that of its point."""
+    ends = [(a, b) for a, b in zip(points, points[1:]) if (a != b).any()]
+    return [capsule(a, b, r, quadrant) for a, b in ends] if ends else [disc(*points[0], r, quadrant)]
+
+
+def area_pieces(rings: list[np.ndarray], r: float, quadrant: int = QUADRANT) -> list[np.ndarray]:
+    """Convex pieces whose union is the buffer of a polygon with holes: the buffers of its rings, and its inside cut into
+    trapezoids by the vertical lines through its corners (even-odd over all rings)."""
+    rings = [q if (q[0] == q[-1]).all() else np.vstack([q, q[:1]]) for q in rings if len(q)]
+    if not rings:
+        return []
+    out = [p for q in rings for p in line_pieces(q, r, quadrant)]
+    edges = np.vstack([np.hstack([q[:-1], q[1:]]) for q in rings if len(q) > 3] or [np.empty((0, 4))])
+    xs = np.unique(edges[:, [0, 2]])
+    # rings may cross each other or themselves: their crossings are corners as well
+    xs = np.unique(np.r_[xs, _crossings(edges)])
+    for x0, x1 in zip(xs, xs[1:]):
+        if x1 - x0 < 10 * OFFSET:
+            continue  # thinner than a millimetre, and inside the buffer of the corner
+        lo, hi = np.minimum(edges[:, 0], edges[:, 2]), np.maximum(edges[:, 0], edges[:, 2])
+        e = edges[(lo < (x0 + x1) / 2) & (hi > (x0 + x1) / 2)]
+        slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
+        left, right = e[:, 1] + slope * (x0 - e[:, 0]), e[:, 1] + slope * (x1 - e[:, 0])
+        order = np.argsort(left + right, kind="stable")
+        for a, b in zip(order[::2], order[1::2]):
+            p = np.array([[x0, left[a]], [x1, right[a]], [x1, right[b]], [x0, left[b]]])
+            p = p[(np.abs(p - np.roll(p, 1, axis=0)) > 1e-9).any(axis=1)]
+            if len(p) >= 3 and signed_area(p) > 1e-6:
+                out.append(p)
+    return out
+
+
+def _crossings(edges: np.ndarray) -> np.ndarray:
+    found = [np.empty(0)]
+    for k in range(len(edges) - 1):
+        (ax, ay, bx, by), rest = edges[k], edges[k + 1 :]
+        rx, ry, sx, sy = bx - ax, by - ay, rest[:, 2] - rest[:, 0], rest[:, 3] - rest[:, 1]
+        den = rx * sy - ry * sx
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = ((rest[:, 0] - ax) * sy - (rest[:, 1] - ay) * sx) / den
+            u = ((rest[:, 0] - ax) * ry - (rest[:, 1] - ay) * rx) / den
+        hit = (np.abs(den) > 1e-12) & (t > 1e-9) & (t < 1 - 1e-9) & (u > 1e-9) & (u < 1 - 1e-9)
+        found.append(ax + t[hit] * rx)
+    return np.concatenate(found)
+
+
 def _inside(points: np.ndarray, pieces: list[np.ndarray]) -> np.ndarray:
     """For each point and piece whether the point is inside (counter-clockwise convex pieces)."""
     out = np.empty((len(points), len(pieces)), bool)

@@ -1,4 +1,9 @@
-"""Adaptive coverage of polygons by cells of a quadtree over degrees (numpy), and the matching point cells (columns)."""
+"""Adaptive coverage of polygons by cells of a quadtree over degrees (numpy), and the matching point cells (columns).
+
+Every cell on the edge of a polygon carries only the edges that touch it, and whether its reference point, just beyond its upper
+right corner, is inside.  A point of the cell is inside if the path from it, first along its parallel and then along the meridian
+to the reference point, crosses edges an odd or even number of times accordingly: the path stays in the cell.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +15,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MAX_LEVEL = 30
+#: Cells that a task hands on together.
+CELLS_AT_ONCE = 20_000
+#: The reference point lies beyond the corner by these shares of the cell's width: no vertex is likely to be just there.
+BEYOND = (1.7320508e-7, 2.2360679e-7)
 
 
 def cell_column(lat: Column, lon: Column, level: Column) -> Column:
@@ -37,52 +46,111 @@ def _contains(edges: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> np.ndarray
     return hit.sum(axis=1) % 2 == 1
 
 
-def _touches(edges: np.ndarray, y0: np.ndarray, y1: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
-    """Whether any edge meets the closed box: boxes overlap and the corners are not all on one side of the edge's line."""
-    a, b, c, d = (edges[:, k][None, :] for k in range(4))
-    Y0, Y1, X0, X1 = (v[:, None] for v in (y0, y1, x0, x1))
-    over = (np.maximum(a, c) >= Y0) & (np.minimum(a, c) <= Y1) & (np.maximum(b, d) >= X0) & (np.minimum(b, d) <= X1)
-    sides = [(c - a) * (x - b) - (d - b) * (y - a) for y in (Y0, Y1) for x in (X0, X1)]
+def _touches(e: np.ndarray, y0: np.ndarray, y1: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
+    """Whether each edge meets its closed box: boxes overlap and the corners are not all on one side of the edge's line."""
+    a, b, c, d = e.T
+    over = (np.maximum(a, c) >= y0) & (np.minimum(a, c) <= y1) & (np.maximum(b, d) >= x0) & (np.minimum(b, d) <= x1)
+    sides = [(c - a) * (x - b) - (d - b) * (y - a) for y in (y0, y1) for x in (x0, x1)]
     one = np.logical_and.reduce([s > 0 for s in sides]) | np.logical_and.reduce([s < 0 for s in sides])
-    return (over & ~one).any(axis=1)
+    return over & ~one
+
 
+def _crossed(e: np.ndarray, lat: np.ndarray, lon: np.ndarray, top: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether each edge crosses its path from (lat, lon) by (lat, right) to (top, right) an odd number of times."""
+    y1, x1, y2, x2 = e.T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        x = (x2 - x1) * (lat - y1) / (y2 - y1) + x1
+        y = (y2 - y1) * (right - x1) / (x2 - x1) + y1
+    along = ((y1 > lat) != (y2 > lat)) & (lon < x) & (x <= right)
+    up = ((x1 > right) != (x2 > right)) & (lat < y) & (y <= top)
+    return along != up
 
-def cover_polygon(edges: np.ndarray, refine: int) -> list[tuple[int, np.ndarray, np.ndarray, bool]]:
-    """(level, row, column, inside) of the cells that cover a polygon, none of which overlap."""
+
+def cover_polygon(edges: np.ndarray, refine: int) -> list[tuple[int, np.ndarray, np.ndarray, bool, list]]:
+    """(level, row, column, inside, details) of the cells that cover a polygon, none of which overlap; details of a cell on the
+    edge are (edges that touch it, whether its reference point is inside, the point's latitude and longitude)."""
     lo, hi = edges.reshape(-1, 2).min(axis=0), edges.reshape(-1, 2).max(axis=0)
     width = max(float((hi - lo).max()), 1e-7)
     coarse = int(np.clip(np.floor(np.log2(360.0 / width)), 0, MAX_LEVEL - refine))
     n = 1 << coarse
     (i0, j0), (i1, j1) = (np.clip(np.floor((v + 180.0) / 360.0 * n), 0, n - 1).astype(np.int64) for v in (lo, hi))
-    i, j = (g.ravel() for g in np.meshgrid(np.arange(i0, i1 + 1), np.arange(j0, j1 + 1), indexing="ij"))
+    i, j = (g.ravel() for g in np.meshgrid(np.arange(i0, i1 + 1), np.arange(j0, j1 + 1), indexing="ij"))  # nine cells at most
+    size = 360.0 / n
+    of, which = np.repeat(np.arange(len(i)), len(edges)), np.tile(np.arange(len(edges)), len(i))
+    top, right = (i + 1 + BEYOND[0]) * size - 180.0, (j + 1 + BEYOND[1]) * size - 180.0
+    odd, middle = _contains(edges, top, right), _contains(edges, (i + 0.5) * size - 180.0, (j + 0.5) * size - 180.0)
     out = []
     for level in range(coarse, coarse + refine + 1):
         size = 360.0 / (1 << level)
+        slack = size * 1e-6
         y, x = i * size - 180.0, j * size - 180.0
-        slack = size * 1e-9
-        edge = _touches(edges, y - slack, y + size + slack, x - slack, x + size + slack)
-        inside = ~edge & _contains(edges, y + size / 2, x + size / 2)
-        out.append((level, i[inside], j[inside], True))
+        hit = _touches(edges[which], y[of] - slack, y[of] + size + slack, x[of] - slack, x[of] + size + slack)
+        of, which = of[hit], which[hit]
+        edge = np.zeros(len(i), bool)
+        edge[of] = True
+        inside = ~edge & middle
+        out.append((level, i[inside], j[inside], True, []))
+        own = np.flatnonzero(edge)
+        at = np.cumsum(edge) - 1
+        of, i, j, odd, top, right = at[of], i[own], j[own], odd[own], top[own], right[own]
         if level == coarse + refine:
-            out.append((level, i[edge], j[edge], False))
-        i, j = np.repeat(i[edge], 4), np.repeat(j[edge], 4)
-        q = np.tile(np.arange(4), int(edge.sum()))
-        i, j = 2 * i + q // 2, 2 * j + q % 2
+            order = np.argsort(of, kind="stable")
+            parts = np.split(edges[which[order]], np.flatnonzero(np.diff(of[order])) + 1) if len(of) else []
+            out.append((level, i, j, False, [(p, bool(o), float(t), float(r)) for p, o, t, r in zip(parts, odd, top, right)]))
+            break
+        # the four quarters of each cell, with the edges of the whole
+        m = len(i)
+        old_top, old_right, old_odd = np.repeat(top, 4), np.repeat(right, 4), np.repeat(odd, 4)
+        q = np.tile(np.arange(4), m)
+        i, j = 2 * np.repeat(i, 4) + q // 2, 2 * np.repeat(j, 4) + q % 2
+        of = (4 * of[:, None] + np.arange(4)[None, :]).ravel()
+        which = np.repeat(which, 4)
+        half = size / 2
+        top, right = (i + 1 + BEYOND[0]) * half - 180.0, (j + 1 + BEYOND[1]) * half - 180.0
+
+        def parity(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+            crossed = _crossed(edges[which], lat[of], lon[of], old_top[of], old_right[of])
+            return (np.bincount(of, crossed, minlength=len(lat)).astype(np.int64) % 2 == 1) != old_odd
+
+        middle, odd = parity((i + 0.5) * half - 180.0, (j + 0.5) * half - 180.0), parity(top, right)
     return out
 
 
 def covers(refine: int):
-    """For mapInPandas: rows (_a, _rings) to rows (_level, _cell, _inside, _a, _edges); only edge cells carry the edges."""
+    """For mapInPandas: rows (_a, _rings) to rows (_level, _cell, _inside, _a, _edges, _odd, _top, _right)."""
+
+    columns = ["_level", "_cell", "_inside", "_a", "_edges", "_odd", "_top", "_right"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            rows: list[tuple] = []
             for a, rings in zip(pdf["_a"], pdf["_rings"]):
                 edges = edges_of([np.array([[c["latitude"], c["longitude"]] for c in r], dtype=float) for r in rings])
                 if not len(edges) or not np.isfinite(edges).all():
                     continue
-                flat = edges.ravel().tolist()
-                for level, i, j, inside in cover_polygon(edges, refine):
-                    if len(i):
-                        yield pd.DataFrame({"_level": np.int32(level), "_cell": (i << 31) | j, "_inside": inside, "_a": a, "_edges": [[] if inside else flat] * len(i)})
+                for level, i, j, inside, details in cover_polygon(edges, refine):
+                    cells = ((i << 31) | j).tolist()
+                    if inside:
+                        rows += [(level, c, True, a, None, False, 0.0, 0.0) for c in cells]
+                    else:
+                        rows += [(level, c, False, a, e.ravel().tolist(), o, t, r) for c, (e, o, t, r) in zip(cells, details)]
+                if len(rows) >= CELLS_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=columns).astype({"_level": "int32"})
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=columns).astype({"_level": "int32"})
 
     return run
+
+
+def inside_cell(lat: Column, lon: Column, edges: Column, odd: Column, top: Column, right: Column) -> Column:
+    """Whether a point of a cell is inside, by the cell's edges (flat: lat1, lon1, lat2, lon2, lat1, ...) and reference point."""
+    k = F.sequence(F.lit(0), (F.size(edges) / 4).cast("int") - 1)
+
+    def crosses(i: Column) -> Column:
+        y1, x1, y2, x2 = (F.element_at(edges, i * 4 + n) for n in (1, 2, 3, 4))
+        along, up = (y1 > lat) != (y2 > lat), (x1 > right) != (x2 > right)
+        x, y = F.try_divide((x2 - x1) * (lat - y1), y2 - y1) + x1, F.try_divide((y2 - y1) * (right - x1), x2 - x1) + y1
+        return F.coalesce(along & (lon < x) & (x <= right), F.lit(False)) != F.coalesce(up & (lat < y) & (y <= top), F.lit(False))
+
+    return F.when(F.size(edges) < 4, odd).otherwise(F.aggregate(k, odd, lambda acc, i: acc != crosses(i)))

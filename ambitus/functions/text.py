@@ -24,6 +24,11 @@ def normalize_metadata(s: Column) -> Column:
     return F.when((F.trim(s) != "") & (F.lower(F.trim(s)) != "null"), normalize(s))
 
 
+def strip(s: Column) -> Column:
+    """Without blanks of any kind at both ends."""
+    return F.regexp_replace(s, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+
+
 def collapse(s: Column) -> Column:
     return F.regexp_replace(F.trim(s), r"\s+", " ")
 

@@ -11,15 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ambitus.functions import geo, regions
 
-#: Most distinct radii of one join: their levels are collected to the driver and multiply the rows of the points.
-MAX_RADII = 1000
-
 
 def points_near_points(
     points: DataFrame, targets: DataFrame, point_id: str, target_id: str, radius: str, lat: str = "latitude", lon: str = "longitude", refine: int = 3, by: str | None = None
@@ -41,10 +38,9 @@ def points_near_points(
         .select(F.col(target_id).alias("_t"), also.alias("_by"), F.col(lat).cast("double").alias("_tlat"), F.col(lon).cast("double").alias("_tlon"), F.col(radius).cast("double").alias("_r"))
         .distinct()
     )
-    radii = [r[0] for r in targets.select(F.col(radius).cast("double")).where(F.col(radius) >= 0).distinct().limit(MAX_RADII + 1).collect()]
-    if len(radii) > MAX_RADII:
-        raise ValueError(f"more than {MAX_RADII} distinct radii: round them first")
-    levels = sorted({x for r in radii for x in range(geo.radius_levels(r, refine)[0], geo.radius_levels(r, refine)[1] + 1)})
+    b = b.withColumn("_level", geo.level_column(F.col("_r"), refine))
+    starts = [r[0] for r in b.select("_level").distinct().collect()]  # at most MAX_LEVEL + 1, whatever the radii
+    levels = sorted({x for start in starts for x in range(start, start + refine + 1)})
     types = {f.name: f.dataType for f in a.schema.fields} | {f.name: f.dataType for f in b.schema.fields}
     held = a.mapInPandas(_point_cells(levels), T.StructType([T.StructField("_cell", T.LongType())] + [T.StructField(c, types[c]) for c in ("_p", "_by", "_plat", "_plon")]))
     covers = b.mapInPandas(_covers(refine), T.StructType([T.StructField("_cell", T.LongType()), T.StructField("_inside", T.BooleanType())] + [T.StructField(c, types[c]) for c in ("_t", "_by", "_tlat", "_tlon", "_r")]))
@@ -68,9 +64,9 @@ def _point_cells(levels: list[int]):
 def _covers(refine: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for r, own in pdf.groupby("_r"):
-                who, cells, inside = geo.cover_circles(own["_tlat"].to_numpy(), own["_tlon"].to_numpy(), float(r), refine)
-                out = own.iloc[who].reset_index(drop=True)
+            for level, own in pdf.groupby("_level"):
+                who, cells, inside = geo.cover_circles(own["_tlat"].to_numpy(), own["_tlon"].to_numpy(), own["_r"].to_numpy(), refine, int(level))
+                out = own.drop(columns="_level").iloc[who].reset_index(drop=True)
                 out.insert(0, "_inside", inside)
                 out.insert(0, "_cell", cells)
                 yield out
@@ -84,7 +80,8 @@ def points_in_regions(points: DataFrame, areas: DataFrame, point_id: str, area_i
     areas: area_id and ``rings``, an array of rings, each an array of structs (latitude, longitude); the edges are straight in
     degrees; a point is inside by the even-odd rule over all rings, so that further rings are holes.  A region must not cross
     the 180th meridian.  Points as in ``points_near_points``.  Rings of fewer than three vertices are left out; a region
-    without a ring contains nothing.  Which side a point exactly on an edge falls on is that of the even-odd test.
+    without a ring contains nothing.  Which side a point exactly on an edge falls on is that of the even-odd test.  A cell on the
+    edge of a region carries only the edges that touch it, so a region of very many vertices is spread over its cells.
     """
     a = points.where(geo.is_position(lat, lon)).select(F.col(point_id).alias("_p"), F.col(lat).cast("double").alias("_plat"), F.col(lon).cast("double").alias("_plon")).distinct()
     shape = F.filter(F.transform(F.col(rings), lambda r: F.transform(r, lambda c: F.struct(c["latitude"].cast("double").alias("latitude"), c["longitude"].cast("double").alias("longitude")))), lambda r: F.size(r) >= 3)
@@ -94,20 +91,10 @@ def points_in_regions(points: DataFrame, areas: DataFrame, point_id: str, area_i
     # level by the width of the region, so that a region has about the same number of cells whatever its size
     covers = b.mapInPandas(
         regions.covers(refine),
-        T.StructType([T.StructField("_level", T.IntegerType()), T.StructField("_cell", T.LongType()), T.StructField("_inside", T.BooleanType()), T.StructField("_a", types["_a"]), T.StructField("_edges", T.ArrayType(T.DoubleType()))]),
+        T.StructType([T.StructField("_level", T.IntegerType()), T.StructField("_cell", T.LongType()), T.StructField("_inside", T.BooleanType()), T.StructField("_a", types["_a"]), T.StructField("_edges", T.ArrayType(T.DoubleType())), T.StructField("_odd", T.BooleanType()), T.StructField("_top", T.DoubleType()), T.StructField("_right", T.DoubleType())]),
     )
     used = covers.select("_level").distinct()
     held = a.join(F.broadcast(used)).withColumn("_cell", regions.cell_column(F.col("_plat"), F.col("_plon"), F.col("_level")))  # at most 31 levels exist
-    hit = held.join(covers, ["_level", "_cell"]).where(F.col("_inside") | even_odd(F.col("_plat"), F.col("_plon"), F.col("_edges")))
+    hit = held.join(covers, ["_level", "_cell"]).where(F.col("_inside") | regions.inside_cell(F.col("_plat"), F.col("_plon"), F.col("_edges"), F.col("_odd"), F.col("_top"), F.col("_right")))
     return hit.select(F.col("_p").alias(point_id), F.col("_a").alias(area_id)).distinct()
 
-
-def even_odd(lat: Column, lon: Column, edges: Column) -> Column:
-    """Even-odd test against edges given flat: lat1, lon1, lat2, lon2, lat1, ..."""
-    k = F.sequence(F.lit(0), (F.size(edges) / 4).cast("int") - 1)
-
-    def crosses(i: Column) -> Column:
-        y1, x1, y2, x2 = (F.element_at(edges, i * 4 + n) for n in (1, 2, 3, 4))
-        return ((y1 > lat) != (y2 > lat)) & (lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1)
-
-    return F.when(F.size(edges) < 4, F.lit(False)).otherwise(F.aggregate(k, F.lit(False), lambda acc, i: acc != F.coalesce(crosses(i), F.lit(False))))

@@ -45,14 +45,17 @@ def normalize_names(records: DataFrame, order: list[Column], category: str = "ca
     the id where streets are shared or missing as well.  Of several rows with one (id, query, type) only the first is changed."""
     base = X.base_name(F.col(name), F.col(query))
     r = records.withColumn("_base", base)
-    group = Window.partitionBy(F.lower(F.concat_ws("::", category, "_base")))
-    r = r.withColumn("_n", F.count("*").over(group))
     hint = X.street_hint(F.col(address))
     r = r.withColumn("_hinted", F.when(hint.isNotNull(), F.concat_ws(" | ", "_base", hint)).otherwise(F.col("_base")))
-    r = r.withColumn("_m", F.count("*").over(Window.partitionBy(F.lower(F.concat_ws("::", category, "_base")), F.lower("_hinted"))))
+    r = r.withColumn("_g", F.lower(F.concat_ws("::", category, "_base"))).withColumn("_h", F.lower("_hinted"))
+    r = r.withColumn("_k", F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate((place, query, "sourceQueryType"))]))
+    # counts and firsts are pre-aggregated and joined back, so that a name or id of very many rows is no window in one task
+    shared = r.groupBy("_g", "_h").agg(F.count("*").alias("_m"))
+    named = shared.groupBy("_g").agg(F.sum("_m").alias("_n"))
+    firsts = r.groupBy("_k").agg(F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).alias("_o"), F.count("*").alias("_c"))
+    r = r.withColumn("_own", F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).join(shared, ["_g", "_h"], "left").join(named, "_g", "left").join(firsts, "_k", "left")
     full = F.when(F.col("_n") == 1, F.col("_base")).when(F.col("_m") == 1, F.col("_hinted")).otherwise(F.concat_ws(" | ", "_hinted", X.stable_suffix(F.col(place))))
-    first = F.row_number().over(Window.partitionBy(place, query, "sourceQueryType").orderBy(*order)) == 1
-    return r.withColumn("normalized_name", F.when(first, full).otherwise(F.col("_base"))).drop("_base", "_n", "_hinted", "_m")
+    return r.withColumn("normalized_name", F.when(F.col("_own") == F.col("_o"), full).otherwise(F.col("_base"))).drop("_base", "_n", "_hinted", "_m", "_g", "_h", "_k", "_own", "_o", "_c")
 
 
 def audit(judged: DataFrame, group: str = "category") -> DataFrame:

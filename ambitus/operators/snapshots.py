@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Keys of one list that are compared in one task.
+#: Keys of one list that are compared in one task, about; a task holds twice as many rows at most.
 KEYS_PER_BUCKET = 200_000
 
 
@@ -57,23 +57,42 @@ def diff_snapshots(
     if expected is not None:
         told = expected.groupBy(F.col(group).alias("_g"), F.col(version).cast("long").alias("_v")).agg(F.max(F.col(expected_count).cast("long")).alias("_told"))
         counts = counts.join(told, ["_g", "_v"], "left").where(F.col("_keys") >= F.coalesce("_told", F.lit(0)))
-    order = Window.partitionBy("_g").orderBy("_v")
-    deliveries = counts.select(
-        "_g",
-        "_v",
-        F.lag("_v").over(order).alias("_prev"),
-        F.lead("_v").over(order).alias("_next"),
-        F.ceil(F.max("_keys").over(Window.partitionBy("_g")) / F.lit(keys_per_bucket)).cast("int").alias("_n"),
-    ).where(F.col("_prev").isNotNull() | F.col("_next").isNotNull())
-    spread = slim.join(deliveries, ["_g", "_v"]).withColumn("_b", F.pmod(F.col("_b"), F.greatest(F.col("_n"), F.lit(1)))).drop("_n")
+    found = _spread(slim, counts, keys_per_bucket)
     compare = _compare(len(numbers), tolerance)
     g_type = slim.schema["_g"].dataType.simpleString()
-    found = spread.groupBy("_g", "_b").applyInPandas(compare, f"_g {g_type}, _at long, _v long, _k long, change_kind string")
+    found = found.groupBy("_g", "_c", "_b").applyInPandas(compare, f"_g {g_type}, _at long, _v long, _k long, change_kind string")
     keys = src.select(F.col(group).alias("_g"), F.col(version).cast("long").alias("_at"), F.xxhash64(F.col(key)).alias("_k"), F.col(key).alias("_key"))
     out = found.join(keys, ["_g", "_at", "_k"])
     return out.select(F.col("_g").alias(group), F.col("_v").alias(version), F.col("_key").alias(key), "change_kind").distinct()
 
 
+def _spread(slim: DataFrame, counts: DataFrame, keys_per_bucket: int) -> DataFrame:
+    """Rows with the run of deliveries (_c) and the bucket of the key (_b) in which they are compared, and the deliveries before
+    and after them within that run.
+
+    A run is as many neighbouring deliveries as hold keys_per_bucket keys together, two at least; the delivery between two runs is
+    in both.  Deliveries with more keys are cut by the hash of the key.  So a task holds a bounded number of rows, whatever the
+    size of a delivery and however many there are."""
+    order = Window.partitionBy("_g").orderBy("_v")
+    most = F.max("_keys").over(Window.partitionBy("_g"))
+    deliveries = counts.select(
+        "_g",
+        "_v",
+        (F.row_number().over(order) - 1).alias("_i"),
+        F.lag("_v").over(order).alias("_before"),
+        F.lead("_v").over(order).alias("_after"),
+        F.greatest(F.ceil(most / F.lit(keys_per_bucket)), F.lit(1)).cast("int").alias("_n"),
+        F.greatest(F.floor(F.lit(keys_per_bucket) / F.greatest(most, F.lit(1))), F.lit(1)).cast("int").alias("_run"),
+    ).where(F.col("_before").isNotNull() | F.col("_after").isNotNull())
+    # with the next delivery in one run, with the one before in the same or in the run before
+    as_old, as_new = F.floor(F.col("_i") / F.col("_run")), F.floor((F.col("_i") - 1) / F.col("_run"))
+    runs = F.array_compact(F.array_distinct(F.array(F.when(F.col("_after").isNotNull(), as_old), F.when(F.col("_before").isNotNull(), as_new))))
+    placed = deliveries.withColumn("_c", F.explode(runs)).select(
+        "_g", "_v", "_n", F.col("_c").cast("int").alias("_c"), F.when(as_new == F.col("_c"), F.col("_before")).alias("_prev"), F.when(as_old == F.col("_c"), F.col("_after")).alias("_next")
+    )
+    return slim.join(placed, ["_g", "_v"]).withColumn("_b", F.pmod(F.col("_b"), F.col("_n"))).drop("_n")
+
+
 def _compare(numbers: int, tolerance: float):
     columns = [f"_n{i}" for i in range(numbers)]
 

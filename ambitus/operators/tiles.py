@@ -57,3 +57,48 @@ def completeness(grid: DataFrame, assigned: DataFrame, required: list[str]) -> D
     out = grid.select("name", "row", "col").join(by, "name", "left")
     has = F.coalesce("_has", F.array().cast("array<string>"))
     return out.select("name", "row", "col", F.coalesce("point_count", F.lit(0)).alias("point_count"), F.size(has).alias("n_categories"), (F.size(F.array_except(need, has)) == 0).alias("complete"))
+
+
+def assign_boxes(features: DataFrame, grid: DataFrame, north: float, west: float, lat_step: float, lon_step: float, key: str, radius: str = "radius_miles", true_width: bool = False) -> DataFrame:
+    """(name, row, col, key, category_key): features of any shape with each tile that their padded box overlaps (closed).
+
+    features: key, category, radius, south, north, west, east (their own box).  The pad is radius / 69 degrees on both axes;
+    true_width: on the east-west axis divided by the cosine of the latitude that is farthest from the equator, so that every
+    tile within the radius is named.  Regular tiles: a feature names its tiles by arithmetic, and an exact test follows."""
+    pad = F.col(radius) / MILES_PER_DEGREE
+    far = F.greatest(F.abs(F.col("south")), F.abs(F.col("north"))) + pad
+    wide = pad / F.greatest(F.cos(F.radians(F.least(far, F.lit(90.0)))), F.lit(1e-3)) if true_width else pad
+    f = features.where(F.col("south").isNotNull() & F.col("west").isNotNull()).select(F.col(key).alias("_key"), F.lower(F.trim("category")).alias("category_key"), (F.col("south") - pad).alias("_s"), (F.col("north") + pad).alias("_n"), (F.col("west") - wide).alias("_w"), (F.col("east") + wide).alias("_e"))
+    size = grid.agg(F.max("row").alias("rows"), F.max("col").alias("cols")).first()
+    rows, cols = size["rows"] or 0, size["cols"] or 0
+
+    def span(lo, hi, last: int):
+        lo, hi = F.greatest(F.floor(lo).cast("int") - 1, F.lit(0)), F.least(F.floor(hi).cast("int") + 1, F.lit(last))
+        return F.when(lo <= hi, F.sequence(lo, F.greatest(lo, hi)))
+
+    f = f.withColumn("row", F.explode(span((north - F.col("_n")) / lat_step, (north - F.col("_s")) / lat_step, rows))).withColumn("col", F.explode(span((F.col("_w") - west) / lon_step, (F.col("_e") - west) / lon_step, cols)))
+    hit = f.join(grid, ["row", "col"])
+    inside = (F.col("_n") >= F.col("south")) & (F.col("_s") <= F.col("north")) & (F.col("_e") >= F.col("west")) & (F.col("_w") <= F.col("east"))
+    return hit.where(inside).select("name", "row", "col", F.col("_key").alias(key), "category_key")
+
+
+def tile_index(lat, lon, north: float, west: float, lat_step: float, lon_step: float, rows: int, cols: int):
+    """(row, col) of the tile that holds a position, clamped to the grid."""
+    row, col = F.floor((F.lit(north) - lat) / lat_step), F.floor((lon - F.lit(west)) / lon_step)
+    return tuple(F.greatest(F.lit(0), F.least(x, F.lit(n - 1))).cast("int") for x, n in ((row, rows), (col, cols)))
+
+
+def statuses(grid: DataFrame, assigned: DataFrame, areas: DataFrame, required: list[str]) -> DataFrame:
+    """One row a tile: its box, the number of its features (point_count) and result polygons (boundary_count), the categories
+    present in order, and its status: missing_categories, empty_outline or written."""
+    whole = completeness(grid, assigned, required).select("name", "point_count", "complete")
+    present = assigned.groupBy("name").agg(F.array_sort(F.collect_set("category_key")).alias("_present"))
+    made = areas.groupBy(F.col("group_key").alias("name")).agg(F.count("*").alias("_made"))
+    out = grid.join(whole, "name").join(present, "name", "left").join(made, "name", "left").withColumn("boundary_count", F.coalesce(F.when(F.col("complete"), F.col("_made")), F.lit(0)))
+    status = F.when(~F.col("complete"), "missing_categories").when(F.col("boundary_count") == 0, "empty_outline").otherwise("written")
+    return out.select("name", "row", "col", "north", "south", "west", "east", "point_count", "boundary_count", F.coalesce("_present", F.array().cast("array<string>")).alias("categories_present"), status.alias("status"))
+
+
+def status_counts(tile_rows_: DataFrame) -> DataFrame:
+    """(status, n) of the tiles, every status that occurs."""
+    return tile_rows_.groupBy("status").agg(F.count("*").alias("n"))

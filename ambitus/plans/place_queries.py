@@ -50,19 +50,24 @@ def _places(spark, d):
     return _view(spark, d, PLACES)
 
 
-def _placed(spark, d):
-    r = spark.createDataFrame(list(RADII.items()), "category string, radius_miles double")
-    return places.with_radius(_places(spark, d), r, DEFAULT_RADIUS)
+def _placed(spark, d, times: float = 1.0):
+    r = spark.createDataFrame([(c, x * times) for c, x in RADII.items()], "category string, radius_miles double")
+    return places.with_radius(_places(spark, d), r, DEFAULT_RADIUS * times)
 
 
-def _cells(spark, d):
-    return coverage.coverage_cells(_placed(spark, d), S, W, N, E, STEP)
+def _cells(spark, d, times: float = 1.0):
+    return coverage.coverage_cells(_placed(spark, d, times), S, W, N, E, STEP)
 
 
 def coverage_cells(spark, d):
     return _cells(spark, d)
 
 
+def flagship(spark, d):
+    """The covered cells where every place reaches three times as far: there are some on the smallest tables as well."""
+    return _cells(spark, d, 3.0)
+
+
 def coverage_runs(spark, d):
     return coverage.row_runs(_cells(spark, d))
 
@@ -76,7 +81,7 @@ def _nearest(spark, d):
 
 
 def knn_per_category(spark, d):
-    return _nearest(spark, d).withColumn("distance_miles", F.round("distance_miles", 6))
+    return _nearest(spark, d).select("probe_id", "category_key", "rank", "label", F.round("distance_miles", 6).alias("distance_miles"))
 
 
 def missing_categories(spark, d):
@@ -84,7 +89,7 @@ def missing_categories(spark, d):
 
 
 def diagnose_report(spark, d):
-    return diagnose.report_lines(diagnose.nested(_nearest(spark, d), 1.0))
+    return diagnose.report_lines(diagnose.nested(_nearest(spark, d), 1.0), _view(spark, d, PROBES), 1.0)
 
 
 def _assigned(spark, d):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +25,15 @@ def local_session(app: str = "ambitus", cpus: int | None = None, **conf: str) ->
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the session's ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The shared folder for checkpoints: the session's ``spark.checkpoint.dir``.  Where it is unset a temporary folder serves in a
+    local session; on a cluster, whose executors could not read it, that is an error."""
     sc = spark.sparkContext
     own = sc.getCheckpointDir()
     if own:
         return own
     told = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not told and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(told or tempfile.mkdtemp(prefix="ambitus-checkpoint-"))
     return sc.getCheckpointDir()
 

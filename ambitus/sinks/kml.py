@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ambitus.functions.text import xml_escape
@@ -30,6 +30,30 @@ def placemark(name: Column, points: Column, kind: Column, holes: Column | None =
     return F.concat(F.lit("<Placemark><name>"), xml_escape(F.coalesce(name, F.lit(""))), F.lit("</name>"), body, F.lit("</Placemark>"))
 
 
+def result_documents(areas: DataFrame, features: DataFrame, categories: list[str] = ()) -> DataFrame:
+    """(group_key, document): the result of each group: a folder Intersection with its polygons, numbered from 1 and named after
+    the categories, and a folder Source Features with one folder for each category, in the order of its name.
+
+    areas: of ``overlay.overlay_groups``; features: group_key, category, label, points, lines, polygons.  A group with features
+    but without an area has an empty first folder.  One document is one text by its format: a group is a tile or a request."""
+    n = F.row_number().over(Window.partitionBy("group_key").orderBy("polygon_no"))
+    marks = areas.withColumn("_n", n).withColumn("_x", placemark(F.concat(F.lit("Intersection "), F.col("_n").cast("string")), F.col("outer"), F.lit("polygon"), F.col("holes")))
+    first = marks.groupBy("group_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_x"))), lambda r: r["_x"]), "").alias("_first"))
+    label = F.coalesce("label", F.lit(""))
+    shapes = F.concat(
+        F.transform("points", lambda p: placemark(label, F.array(p), F.lit("point"))),
+        F.transform("lines", lambda x: placemark(label, x, F.lit("linestring"))),
+        F.transform("polygons", lambda q: placemark(label, q[0], F.lit("polygon"), F.slice(q, 2, F.greatest(F.size(q) - 1, F.lit(0))))),
+    )
+    own = features.select("group_key", F.coalesce("category", F.lit("")).alias("_c"), F.array_join(shapes, "").alias("_x"))
+    folder = own.groupBy("group_key", "_c").agg(F.array_join(F.array_sort(F.collect_list("_x")), "").alias("_x"))
+    folder = folder.withColumn("_x", F.concat(F.lit("<Folder><name>"), xml_escape(F.col("_c")), F.lit("</name>"), "_x", F.lit("</Folder>")))
+    second = folder.groupBy("group_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_c", "_x"))), lambda r: r["_x"]), "").alias("_second"))
+    rows = second.join(first, "group_key", "full")
+    body = F.concat(F.lit("<Folder><name>Intersection</name>"), F.coalesce("_first", F.lit("")), F.lit("</Folder><Folder><name>Source Features</name>"), F.coalesce("_second", F.lit("")), F.lit("</Folder>"))
+    return rows.select("group_key", F.concat(F.lit(HEAD), body, F.lit(TAIL)).alias("document"))
+
+
 def documents(features: DataFrame, key: str, per_document: int = 10_000, n_rows: int | None = None) -> DataFrame:
     """(source_file, document): features (name, category, points, kind, and holes if there is such a column) as
     documents with one folder per category.

@@ -36,6 +36,16 @@ def test_near_same_as_brute_force(spark):
     assert got == want and len(want) > 1000
 
 
+def test_any_radius_same_as_brute_force(spark):
+    """More than a thousand different radii, from none to around the globe."""
+    rng = random.Random(8)
+    pts = [(i, math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180)) for i in range(80)]
+    tgt = [(i, math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180), rng.choice([0.0, 13_000.0, rng.uniform(0, 12_500), 10 ** rng.uniform(-2, 3)])) for i in range(1300)]
+    want = {(p[0], t[0]) for p in pts for t in tgt if miles(p[1], p[2], t[1], t[2]) <= t[3]}
+    p, t = spark.createDataFrame(pts, "id int, latitude double, longitude double"), spark.createDataFrame(tgt, "tid int, latitude double, longitude double, r double")
+    assert {tuple(r) for r in points_near_points(p, t, "id", "tid", "r").collect()} == want and len({x[3] for x in tgt}) > 600
+
+
 def test_near_by_and_empty(spark):
     p = spark.createDataFrame([(1, 1.0, 1.0, "x"), (2, 1.0, 1.0, None)], "id int, latitude double, longitude double, k string")
     t = spark.createDataFrame([(5, 1.0, 1.0, 1.0, "x"), (6, 1.0, 1.0, 1.0, "y"), (7, 1.0, 1.0, 1.0, None)], "tid int, latitude double, longitude double, r double, k string")

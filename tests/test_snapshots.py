@@ -31,3 +31,12 @@ def test_incomplete_deliveries_and_buckets(spark):
 def test_nulls_and_empty(spark):
     assert changes(spark, [row(1, None), row(None, "a"), (None, 1, "a", "a", [], 1.0, "x")]) == []
     assert changes(spark, []) == []
+
+
+def test_runs_of_deliveries_and_buckets(spark):
+    """However few keys a task may hold, the changes are the same: deliveries are cut into runs and keys into buckets."""
+    rows = [row(v, f"k{k}", name=f"n{(v * k) % 3}") for v in range(1, 8) for k in range(12) if (v + k) % 4]
+    whole = changes(spark, rows)
+    assert len(whole) >= 60
+    for n in (1, 5, 9, 20, 27):
+        assert changes(spark, rows, keys_per_bucket=n) == whole
