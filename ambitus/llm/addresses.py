@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ambitus.session import cut
 
-from .address_parse import NAME_TERMS, TOKEN, Address, Gazetteer, deletes, fold, parse, segments_of, within_one
+from .address_parse import ENGLISH, LOCALES, NO_REGION, TOKEN, Address, Gazetteer, Locale, deletes, fold, parse, segments_of, within_one
 
 #: Entries (postcodes, towns, region and country words) of the learned gazetteer that are broadcast: with the deletion index of
 #: the towns about 2 KB each at most.  Beyond it the entries that an address may name are joined to it.
@@ -20,7 +20,6 @@ MAX_GAZETTEER = 100_000
 TYPO_RATIO = 3.0
 
 PARTS = ("number", "name", "street_type", "direction", "town", "region", "zip")
-_TAIL = r",\s*([^,;]+),\s*([\p{L}]+)\.?\s+(\d{5})\s*(?:,\s*([^,;\d]+))?$"
 
 
 def _fold(c):
@@ -30,15 +29,18 @@ def _fold(c):
     return F.regexp_replace(F.translate(F.lower(F.trim(c)), accents, plain), r"[\s.]+", " ")
 
 
-def learn_places(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def learn_places(records: DataFrame, locale: Locale = ENGLISH) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(zips: zip, town, region), (regions: word, region) and (countries: word) that the records themselves show.
 
     A postcode belongs to the town and region named with it most often, in address tails ("Town, RG 10000") and in the town,
     region and zip columns, if that is at least twice and two fifths of the times; other spellings are typing errors.  A long
     region name stands for the two-letter one of the postcodes it occurs with, a word after the postcode is a country."""
     t = F.col("text")
-    tails = records.select(_fold(F.regexp_extract(t, _TAIL, 1)).alias("town"), _fold(F.regexp_extract(t, _TAIL, 2)).alias("region"), F.regexp_extract(t, _TAIL, 3).alias("zip"), _fold(F.regexp_extract(t, _TAIL, 4)).alias("country"))
-    columns = records.select(_fold("town").alias("town"), _fold("region").alias("region"), F.trim("zip").alias("zip"), F.lit("").alias("country"))
+    part = lambda g: F.regexp_extract(t, locale.tail, g)
+    town, region, zip_, country = locale.groups
+    nowhere = F.lit(NO_REGION)
+    tails = records.select(_fold(part(town)).alias("town"), (_fold(part(region)) if region else nowhere).alias("region"), part(zip_).alias("zip"), _fold(part(country)).alias("country"))
+    columns = records.select(_fold("town").alias("town"), (_fold("region") if region else nowhere).alias("region"), F.trim("zip").alias("zip"), F.lit("").alias("country"))
     seen = tails.unionByName(columns).where((F.col("town") != "") & (F.col("region") != "") & F.col("zip").rlike(r"^\d{5}$") & ~F.col("town").rlike(r"\d"))
     seen = cut(seen.groupBy("town", "region", "zip", "country").agg(F.count("*").alias("n")))
     short = seen.where(F.length("region") == 2).groupBy("zip", "town", "region").agg(F.sum("n").alias("n"))
@@ -69,7 +71,7 @@ def gazetteer_entries(zips: DataFrame, regions: DataFrame, countries: DataFrame)
     return z.unionByName(t).unionByName(r).unionByName(c)
 
 
-def parse_records(records: DataFrame, max_gazetteer: int = MAX_GAZETTEER) -> DataFrame:
+def parse_records(records: DataFrame, max_gazetteer: int = MAX_GAZETTEER, locale: Locale = ENGLISH) -> DataFrame:
     """(id, number, name, street_type, direction, town, region, zip) for each record (id, text, town, region, zip); parts that
     the record does not show are ''.
 
@@ -77,20 +79,20 @@ def parse_records(records: DataFrame, max_gazetteer: int = MAX_GAZETTEER) -> Dat
     to the entries that its words may name.  Both ways give the same parts."""
     id_type = records.schema["id"].dataType
     schema = T.StructType([T.StructField("id", id_type)] + [T.StructField(c, T.StringType()) for c in PARTS])
-    entries = cut(gazetteer_entries(*learn_places(records)))
+    entries = cut(gazetteer_entries(*learn_places(records, locale)))
     rows = entries.limit(max_gazetteer + 1).collect()
     if len(rows) > max_gazetteer:
-        return _parse_joined(records, entries, schema)
+        return _parse_joined(records, entries, schema, locale)
     shared = records.sparkSession.sparkContext.broadcast(_gazetteer(rows))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield _parsed(pdf["id"], [parse(x, shared.value, t, r, z) for x, t, r, z in zip(pdf["text"], pdf["town"], pdf["region"], pdf["zip"])])
+            yield _parsed(pdf["id"], [parse(x, shared.value, t, r, z, locale) for x, t, r, z in zip(pdf["text"], pdf["town"], pdf["region"], pdf["zip"])])
 
     return records.select("id", "text", "town", "region", "zip").mapInPandas(run, schema)
 
 
-def _parse_joined(records: DataFrame, entries: DataFrame, schema: T.StructType) -> DataFrame:
+def _parse_joined(records: DataFrame, entries: DataFrame, schema: T.StructType, locale: Locale) -> DataFrame:
     """The same with a gazetteer of any size: each distinct text is joined to the entries that its words, or runs of words with
     one character deleted, may name, and parsed with these alone."""
     longest = entries.where("kind = 'town'").agg(F.max(F.size(F.split("word", " ")))).first()[0] or 1
@@ -98,7 +100,7 @@ def _parse_joined(records: DataFrame, entries: DataFrame, schema: T.StructType)
 
     @F.pandas_udf("array<string>")
     def keys(text: pd.Series, town: pd.Series, region: pd.Series, zip_: pd.Series) -> pd.Series:
-        return pd.Series([sorted(_keys(*x, longest)) for x in zip(text, town, region, zip_)], dtype=object)
+        return pd.Series([sorted(_keys(*x, longest, locale)) for x in zip(text, town, region, zip_)], dtype=object)
 
     @F.pandas_udf("array<string>")
     def town_keys(town: pd.Series) -> pd.Series:
@@ -116,19 +118,19 @@ def _parse_joined(records: DataFrame, entries: DataFrame, schema: T.StructType)
             out = []
             for text, town, region, zip_, es in zip(pdf["text"], pdf["town"], pdf["region"], pdf["zip"], pdf["_es"]):
                 gaz = _gazetteer([e.asDict() if hasattr(e, "asDict") else e for e in (es if es is not None else [])])
-                out.append(parse(text, gaz, town, region, zip_))
+                out.append(parse(text, gaz, town, region, zip_, locale))
             yield _parsed(pdf["id"], out)
 
     return rows.mapInPandas(run, schema)
 
 
-def _keys(text: str | None, town: str | None, region: str | None, zip_: str | None, longest: int) -> set[str]:
+def _keys(text: str | None, town: str | None, region: str | None, zip_: str | None, longest: int, locale: Locale = ENGLISH) -> set[str]:
     """All keys under which a gazetteer entry that the record may name is stored: single words for postcodes, regions and
     countries, runs of up to ``longest`` words for towns, with and without their blanks, and their deletions."""
     out: set[str] = {fold(x or "").strip() for x in (town, region, zip_)}
     whole = " ".join(TOKEN.findall(fold(town or "")))
     out |= {whole} | deletes(whole)
-    for words in segments_of(text):
+    for words in segments_of(text, locale):
         for n in range(1, longest + 1):
             for i in range(len(words) - n + 1):
                 gram = " ".join(words[i : i + n])
@@ -141,7 +143,7 @@ def _parsed(ids: pd.Series, parts: list[Address]) -> pd.DataFrame:
                          "direction": [a.pre or a.post for a in parts], "town": [a.town for a in parts], "region": [a.region for a in parts], "zip": [a.zip for a in parts]})
 
 
-def _corrections(names: DataFrame, ratio: float) -> DataFrame:
+def _corrections(names: DataFrame, ratio: float, locale: Locale) -> DataFrame:
     """(word, right): typing errors among the words of street names.  names: (name, n)."""
     words = cut(names.select(F.explode(F.split("name", " ")).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n")).where((F.length("word") >= 4) & ~F.col("word").rlike(r"^\d")))
 
@@ -154,7 +156,7 @@ def _corrections(names: DataFrame, ratio: float) -> DataFrame:
         return pd.Series([within_one(x, y) for x, y in zip(a, b)])
 
     keyed = words.select("word", "n", F.explode(cut_one("word")).alias("key"))
-    bad = keyed.where(~F.col("word").isin(*NAME_TERMS)).select("key", "word", F.col("n").alias("n0"))
+    bad = keyed.where(~F.col("word").isin(*sorted(set(locale.terms.values())), "")).select("key", "word", F.col("n").alias("n0"))
     good = keyed.select("key", F.col("word").alias("right"), F.col("n").alias("n1"))
     pairs = bad.join(good, "key").where((F.col("n1") >= ratio * F.col("n0")) & (F.col("word") != F.col("right"))).select("word", "right", "n1").distinct()
     return pairs.where(one_edit("word", "right")).groupBy("word").agg(F.max_by("right", F.struct("n1", "right")).alias("right"))
@@ -177,11 +179,13 @@ def _resolve(combos: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return out
 
 
-def address_keys(records: DataFrame, typo_ratio: float = TYPO_RATIO, max_gazetteer: int = MAX_GAZETTEER) -> DataFrame:
+def address_keys(records: DataFrame, typo_ratio: float = TYPO_RATIO, max_gazetteer: int = MAX_GAZETTEER, locale: str = "en") -> DataFrame:
     """(id, address_key, number, name, town, region): the place each record's address denotes, for the records that name a street.
 
     records: id, text, and town, region, zip (null where the record has no such column); further columns are ignored.
 
+    locale: en, es, fr or de (``address_parse.LOCALES``); records of several countries are keyed country by country.
+
     The text is cut into components by dictionaries of the locale: unit, postcode, region, town, country, house number,
     direction, street name, street type; order, case, accents, abbreviations and number words don't matter.  Rules for missing
     components, level by level:
@@ -196,9 +200,9 @@ def address_keys(records: DataFrame, typo_ratio: float = TYPO_RATIO, max_gazette
     Null, empty or unreadable texts have no row; a record that comes twice has one.  Columns are matched with records only by
     equal keys, so that a place with very many records is no more work than many places.
     """
-    parsed = cut(parse_records(records, max_gazetteer).where((F.col("number") != "") & (F.col("name") != "") & (F.col("town") != "")).distinct())
+    parsed = cut(parse_records(records, max_gazetteer, LOCALES[locale]).where((F.col("number") != "") & (F.col("name") != "") & (F.col("town") != "")).distinct())
     names = parsed.groupBy("name").agg(F.count("*").alias("n"))
-    wrong = _corrections(names, typo_ratio)
+    wrong = _corrections(names, typo_ratio, LOCALES[locale])
     words = names.select("name", F.posexplode(F.split("name", " ")).alias("pos", "word")).join(wrong, "word", "left")
     right = words.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("right", "word").alias("w")))).alias("ws"), F.max(F.col("right").isNotNull()).alias("changed"))
     right = right.where("changed").select("name", F.concat_ws(" ", F.transform("ws", lambda x: x["w"])).alias("_right"))

@@ -22,7 +22,9 @@ SHORT_WORDS = {"ctr": "center", "centre": "center", "cntr": "center", "clb": "cl
 LEET = str.maketrans("013457", "oleast")
 VOWELS = set("aeiouy")
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
-_BESIDE = {frozenset((a, b)) for r in ROWS for a, b in zip(r, r[1:])} | {frozenset((a, b)) for r, t in zip(ROWS, ROWS[1:]) for i, a in enumerate(r) for b in t[max(0, i - 1) : i + 1]}
+_NEXT = {(a, b) for r in ROWS for a, b in zip(r, r[1:])} | {(a, b) for r, t in zip(ROWS, ROWS[1:]) for i, a in enumerate(r) for b in t[max(0, i - 1) : i + 1]}
+#: What it costs to take one letter for another, where that is less than 1: neighbouring keys, and vowels.
+_CHEAP = {x + y: 0.8 for a, b in _NEXT for x, y in ((a, b), (b, a))} | {a + b: 0.8 for a in VOWELS for b in VOWELS}
 MISSING = {"", "null", "n/a", "na", "-", "none"}
 FOUND_LIMIT = 200_000
 _CUT = re.compile(r"\s+[-–—|•·]\s+|[|(,;:]|\s+[-–—]$")
@@ -37,7 +39,7 @@ def words_of(value: str) -> list[str]:
     """Folded words; digits between letters as the letters they look like; & as and."""
     out = []
     for w in _WORD.findall(fold(value).replace("&", " and ")):
-        if any(c.isdigit() for c in w) and sum(c.isalpha() for c in w) >= 3:
+        if not w.isalpha() and sum(c.isalpha() for c in w) >= 3:
             w = w.translate(LEET)
         out.append(w)
     return out
@@ -50,18 +52,23 @@ def distance(a: str, b: str, bound: float = 9.0) -> float:
     prev = [0.0]
     for j in range(1, len(b) + 1):
         prev.append(prev[-1] + (0.8 if b[j - 1] in VOWELS else 1.0))
+    less = [0.0] + [0.7 if j and b[j - 1] == y else 0.8 if y in VOWELS else 1.0 for j, y in enumerate(b)]
     for i in range(1, len(a) + 1):
         x = a[i - 1]
+        more = 0.7 if i > 1 and a[i - 2] == x else 1.0
         row = [prev[0] + 1.0]
         for j in range(1, len(b) + 1):
             y = b[j - 1]
             if x == y:
                 best = prev[j - 1]
             else:
-                best = prev[j - 1] + (0.8 if frozenset((x, y)) in _BESIDE or (x in VOWELS and y in VOWELS) else 1.0)
-            extra = prev[j] + (0.7 if i > 1 and a[i - 2] == x else 1.0)
-            lost = row[j - 1] + (0.7 if j > 1 and b[j - 2] == y else 0.8 if y in VOWELS else 1.0)
-            best = min(best, extra, lost)
+                best = prev[j - 1] + _CHEAP.get(x + y, 1.0)
+            extra = prev[j] + more
+            if extra < best:
+                best = extra
+            lost = row[j - 1] + less[j]
+            if lost < best:
+                best = lost
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and x != y:
                 best = min(best, prev2[j - 2] + 0.8)
             row.append(best)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -45,11 +46,16 @@ def _unlisted(primary: str | None, other: str | None) -> tuple[str | None, str]:
     return family, variant
 
 
+@lru_cache(100_000)
+def _skipped(brand: str) -> frozenset[str]:
+    return frozenset(words_of(brand)) | LEGAL
+
+
 def _label(name: str | None, brand: str) -> list[str]:
     """Words of a name that tell the branch: without the brand's words, numbers and whatever is a street."""
     text = (name or "").split("|")[0]
     text = re.sub(r"\(([^)]*)\)", lambda m: " " if any(c.isdigit() for c in m[1]) or any(w in TYPE_OF for w in words_of(m[1])) else f" {m[1]} ", text)
-    skip = set(words_of(brand)) | LEGAL
+    skip = _skipped(brand)
     return sorted({w for w in words_of(text) if SHORT_WORDS.get(w, w) not in skip and w not in skip and not w.isdigit()})
 
 

@@ -182,3 +182,16 @@ def test_linkage_of_unusual_records(spark):
     assert {(r["ida"], r["idb"]) for r in linkage.candidates(placed).collect()} == {(1, 2), (2, 5)}
     assert {(r["ida"], r["idb"]) for r in linkage.candidates(placed, across=False).collect()} >= {(1, 5)}
     assert linkage.link(placed.limit(0)).collect() == []
+
+
+def test_other_locales(spark):
+    """Street kinds before or within the name, house numbers behind it, postcode before the town."""
+    groups = {
+        "es": ["Calle Mayor 5, 28001 Madrid, España", "C/ Mayor, nº 5, 28001 Madrid", "CL MAYOR 5, 28001 Madrid", "Calle Mayor, 5, 28001 Madrid"],
+        "fr": ["5 rue du Faubourg Saint-Honoré, 75008 Paris", "5, r. du Fbg St Honoré, 75008 Paris, France", "5 RUE DU FAUBOURG SAINT HONORE, 75008 PARIS"],
+        "de": ["Hauptstraße 12a, 10115 Berlin", "Hauptstr. 12a, 10115 Berlin, Deutschland", "HAUPTSTRASSE 12A, 10115 BERLIN"],
+    }
+    for locale, texts in groups.items():
+        rows = [(i, t, None, None, None, "x") for i, t in enumerate(texts)] + [(10, texts[0].replace("5", "7", 1).replace("12a", "14"), None, None, None, "x")]
+        keys = {r["id"]: r["address_key"] for r in addresses.address_keys(records(spark, rows), locale=locale).collect()}
+        assert set(keys) == {*range(len(texts)), 10} and len({keys[i] for i in range(len(texts))}) == 1 and keys[10] != keys[0], (locale, keys)
