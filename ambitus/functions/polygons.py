@@ -14,6 +14,8 @@ import numpy as np
 
 QUADRANT = 16
 OFFSET = 1e-4
+#: Metres within which the end of one part of an outline and the start of the next are one point.
+SNAP = 0.01
 
 
 def disc(x: float, y: float, r: float, quadrant: int = QUADRANT) -> np.ndarray:
@@ -177,31 +179,46 @@ def overlay(pieces: list[np.ndarray], category: np.ndarray, categories: int) ->
 
 
 def _stitch(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
-    key = lambda p: tuple(np.round(p, 3))
-    following: dict[tuple, list[int]] = {}
-    seen: set[tuple] = set()
+    """Rings of the parts from a to b.  A part goes on with one that starts where it ends; parts of less than a millimetre are
+    missing, so that the start may be some millimetres away.  Raises ValueError if a chain of parts does not close."""
+    grid: dict[tuple[int, int], list[int]] = {}
+    cell = lambda p: (int(np.floor(p[0] / SNAP)), int(np.floor(p[1] / SNAP)))
+    same: set[tuple] = set()
     keep = []
     for i in range(len(a)):
-        k = (key(a[i]), key(b[i]))
-        if k in seen or k[0] == k[1]:
-            continue
-        seen.add(k)
-        keep.append(i)
-        following.setdefault(k[0], []).append(i)
-    rings, used = [], set()
+        k = (*np.round(a[i], 3), *np.round(b[i], 3))
+        if k not in same and k[:2] != k[2:]:
+            same.add(k)
+            keep.append(i)
+            grid.setdefault(cell(a[i]), []).append(i)
+    used: set[int] = set()
+
+    def after(p: np.ndarray) -> list[int]:
+        """Unused parts that start at p, or else the nearest within SNAP."""
+        x, y = cell(p)
+        near = [(float(np.hypot(*(a[i] - p))), i) for u in (x - 1, x, x + 1) for v in (y - 1, y, y + 1) for i in grid.get((u, v), ()) if i not in used]
+        near = sorted(n for n in near if n[0] <= SNAP)
+        return [i for d, i in near if d <= max(near[0][0], 2e-3)] if near else []
+
+    rings = []
     for i in keep:
         if i in used:
             continue
         ring, j = [], i
-        while j is not None and j not in used:
+        while True:
             used.add(j)
             ring.append(a[j])
-            open_ = [x for x in following.get(key(b[j]), []) if x not in used]
+            back = float(np.hypot(*(b[j] - a[i])))
+            open_ = after(b[j])
+            if not open_ or (back <= 2e-3 and np.hypot(*(a[open_[0]] - b[j])) > back):
+                if back > SNAP and len(ring) > 2:
+                    raise ValueError("an outline does not close")
+                break
             if len(open_) > 1:  # rings touch here: turn left as sharply as can be
                 d = b[j] - a[j]
                 turn = [np.arctan2(d[0] * (b[x] - a[x])[1] - d[1] * (b[x] - a[x])[0], d @ (b[x] - a[x])) for x in open_]
                 open_ = [open_[int(np.argmax(turn))]]
-            j = open_[0] if open_ else None
+            j = open_[0]
         if len(ring) >= 3:
             rings.append(np.array(ring))
     return rings

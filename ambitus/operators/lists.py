@@ -51,7 +51,7 @@ class ListConfig:
     def fetches(self, spark: SparkSession) -> DataFrame:
         """Each search in each tile: what has to be asked of the places service."""
         grid = tiles(spark, self.bounds["north"], self.bounds["south"], self.bounds["west"], self.bounds["east"], self.lat_step, self.lon_step)
-        return self.searches(spark).crossJoin(F.broadcast(grid))  # a configured grid of at most tiles.MAX_TILES
+        return self.searches(spark).crossJoin(F.broadcast(grid))  # a configured grid
 
 
 def judge(records: DataFrame, aliases: DataFrame, keywords: DataFrame, allowed: DataFrame) -> DataFrame:

@@ -2,35 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ambitus.functions.geo import MILES_PER_DEGREE
 
-#: Most tiles of one grid: they are made on the driver.
-MAX_TILES = 1_000_000
+def _steps(first: float, last: float, step: float) -> list[tuple[float, float]]:
+    """Consecutive intervals from first to last by repeated addition (a negative step goes down), the last one clamped."""
+    out, at = [], first
+    while at < last if step > 0 else at > last:
+        to = min(last, at + step) if step > 0 else max(last, at + step)
+        out.append((at, to))
+        at = to
+    return out
 
 
-def tile_rows(north: float, south: float, west: float, east: float, lat_step: float, lon_step: float) -> list[tuple[str, int, int, float, float, float, float]]:
-    """(name, row, col, north, south, west, east): rows from the north by repeated subtraction, columns from the west by repeated
-    addition, the last ones clamped."""
+def tile_edges(north: float, south: float, west: float, east: float, lat_step: float, lon_step: float) -> tuple[list[tuple[float, float]], list[tuple[float, float]]]:
+    """(top, bottom) of each row from the north and (left, right) of each column from the west."""
     if not (north > south and east > west and lat_step > 0 and lon_step > 0):
         raise ValueError("tile bounds must not be empty and steps must be positive")
-    out, row, top = [], 0, north
-    while top > south:
-        bottom, col, left = max(south, top - lat_step), 0, west
-        while left < east:
-            right = min(east, left + lon_step)
-            out.append((f"tile_r{row:02d}_c{col:02d}", row, col, top, bottom, left, right))
-            if len(out) > MAX_TILES:
-                raise ValueError(f"more than {MAX_TILES} tiles")
-            left, col = right, col + 1
-        top, row = bottom, row + 1
-    return out
+    return _steps(north, south, -lat_step), _steps(west, east, lon_step)
+
+
+def tile_rows(*bounds: float) -> list[tuple[str, int, int, float, float, float, float]]:
+    """(name, row, col, north, south, west, east) of all tiles, for small grids."""
+    rows, cols = tile_edges(*bounds)
+    return [(f"tile_r{i:02d}_c{j:02d}", i, j, top, bottom, left, right) for i, (top, bottom) in enumerate(rows) for j, (left, right) in enumerate(cols)]
 
 
 def tiles(spark: SparkSession, *bounds: float) -> DataFrame:
-    return spark.createDataFrame(tile_rows(*bounds), "name string, row int, col int, north double, south double, west double, east double")
+    """The grid as a table.  The driver holds its rows and its columns, the tiles are made where they are used."""
+    rows, cols = tile_edges(*bounds)
+    left, right = (np.array(x, float) for x in zip(*cols))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i, top, bottom in pdf.itertuples(index=False):
+                j = np.arange(len(left))
+                yield pd.DataFrame({"name": [f"tile_r{i:02d}_c{k:02d}" for k in j], "row": np.int32(i), "col": j.astype(np.int32), "north": top, "south": bottom, "west": left, "east": right})
+
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row int, north double, south double")
+    return table.mapInPandas(run, "name string, row int, col int, north double, south double, west double, east double")
 
 
 def assign(features: DataFrame, grid: DataFrame, north: float, west: float, lat_step: float, lon_step: float, key: str, radius: str = "radius_miles", lat: str = "latitude", lon: str = "longitude") -> DataFrame:
