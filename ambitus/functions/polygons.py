@@ -43,13 +43,23 @@ def line_pieces(points: np.ndarray, r: float, quadrant: int = QUADRANT) -> list[
     return [capsule(a, b, r, quadrant) for a, b in ends] if ends else [disc(*points[0], r, quadrant)]
 
 
+def repaired(rings: list[np.ndarray]) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """The even-odd inside of rings that may cross themselves or each other, as simple shells with their holes; the rings as
+    they are, the first as the shell, if they enclose nothing or cannot be repaired."""
+    try:
+        made = with_holes(overlay(p := area_pieces(rings, 0.0), np.zeros(len(p), int), 1))
+    except ValueError:
+        made = []
+    return made or [(rings[0], list(rings[1:]))]
+
+
 def area_pieces(rings: list[np.ndarray], r: float, quadrant: int = QUADRANT) -> list[np.ndarray]:
     """Convex pieces whose union is the buffer of a polygon with holes: the buffers of its rings, and its inside cut into
     trapezoids by the vertical lines through its corners (even-odd over all rings)."""
     rings = [q if (q[0] == q[-1]).all() else np.vstack([q, q[:1]]) for q in rings if len(q)]
     if not rings:
         return []
-    out = [p for q in rings for p in line_pieces(q, r, quadrant)]
+    out = [p for q in rings for p in line_pieces(q, r, quadrant)] if r > 0 else []
     edges = np.vstack([np.hstack([q[:-1], q[1:]]) for q in rings if len(q) > 3] or [np.empty((0, 4))])
     xs = np.unique(edges[:, [0, 2]])
     # rings may cross each other or themselves: their crossings are corners as well

@@ -78,6 +78,30 @@ def polygon_distance(rings: Column, lat: Column, lon: Column, lat0: Column, lon0
     return F.when(point_in_polygon(rings, lat, lon), F.lit(0.0)).otherwise(F.coalesce(edges, F.lit(float("inf"))))
 
 
+def feature_distance(kind: Column, points: Column, lines: Column, polygons: Column, lat: Column, lon: Column, lat0: Column, lon0: Column) -> Column:
+    """Feet from a position to a feature by its kind (point, linestring, polygon): to the nearest of its parts; infinite for an
+    unknown kind or a feature without parts of its kind."""
+    px, py = planar_feet(lat, lon, lat0, lon0)
+
+    def to_point(c: Column) -> Column:
+        x, y = planar_feet(c["latitude"], c["longitude"], lat0, lon0)
+        return F.sqrt(F.pow(px - x, 2) + F.pow(py - y, 2))
+
+    nearest = (
+        F.when(kind == "point", F.array_min(F.transform(points, to_point)))
+        .when(kind == "linestring", F.array_min(F.transform(lines, lambda x: line_distance(x, lat, lon, lat0, lon0))))
+        .when(kind == "polygon", F.array_min(F.transform(polygons, lambda p: polygon_distance(p, lat, lon, lat0, lon0))))
+    )
+    return F.coalesce(nearest, F.lit(float("inf")))
+
+
+def ring_center(ring: Column) -> Column:
+    """Mean of a ring's vertices, a closing one counted once; null for an empty ring."""
+    own = F.when((F.size(ring) > 1) & (ring[0] == F.element_at(ring, -1)), F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(1)))).otherwise(ring)
+    mean = lambda k: F.aggregate(own, F.lit(0.0), lambda a, c: a + c[k]) / F.size(own)
+    return F.when(F.size(ring) > 0, coord(mean("latitude"), mean("longitude")))
+
+
 def line_length(points: Column, radius: float = EARTH_RADIUS_FEET) -> Column:
     """Great-circle length of a line, in the unit of the radius."""
     return F.aggregate(_pairs(points), F.lit(0.0), lambda acc, s: acc + haversine(s["a"]["latitude"], s["a"]["longitude"], s["b"]["latitude"], s["b"]["longitude"], radius))

@@ -115,6 +115,18 @@ def clean(records: DataFrame, aliases: DataFrame, words: DataFrame) -> DataFrame
     return r.withColumn("reason", F.when(F.col("_aliases").isNotNull() & ~match, F.lit("brand_mismatch")).when(hit.isNotNull(), F.concat(F.lit("non_club_entity:"), hit))).drop("_q", "_w", "_aliases", "_words", "_n")
 
 
+def canonical_score(name: Column, query: Column, types: Column, matches: Column, support: Column) -> Column:
+    """How well a record stands for its brand: 100 each for a matching name and for being no support entity, 25 for a type of its
+    kind, 10 each for a super market and for the name being the query."""
+    own, asked = plain_text(name), plain_text(query)
+    typed = F.arrays_overlap(F.coalesce(types, F.array().cast("array<string>")), F.array(*[F.lit(t) for t in ("grocery_store", "supermarket", "gym")]))
+    parts = ((matches, 100), (~support, 100), (typed, 25), (F.contains(own, F.lit("super market")), 10), (own == asked, 10))
+    out = F.lit(0)
+    for condition, n in parts:
+        out = out + F.when(F.coalesce(condition, F.lit(False)), n).otherwise(0)
+    return out
+
+
 def without_support(records: DataFrame, support: Column, parents: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(kept, removed): records that are support entities of a nearby parent (see ``places.nearest_parent``) are removed.
 

@@ -9,6 +9,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from ambitus.functions import shapes
 from ambitus.functions import text as X
 from ambitus.functions.shapes import coord
 from ambitus.operators import dedupe, extract, filters, lists, places, requests, tiles
@@ -287,13 +288,27 @@ def result_kml(spark, d):
     return back.groupBy("folder").agg(F.count("*").alias("n"))
 
 
+def feature_distances(spark, d):
+    """Feet from a position beside each kept geometry to it, and the middle of each area."""
+    e = _extracted(spark, d).join(_boxes(spark, d).select(F.col("p_partkey").cast("int").alias("placemark_index"), "la", "lo", "h", "w"), "placemark_index")
+    far = shapes.feature_distance(F.col("kind"), F.col("points"), F.col("lines"), F.col("polygons"), F.col("la") + F.col("h") / 2, F.col("lo") - F.col("w"), F.lit(33.8), F.lit(-84.3))
+    middle = shapes.ring_center(F.get(F.get("polygons", F.lit(0)), F.lit(0)))
+    return e.select("placemark_index", "kind", F.round(far, 2).alias("feet"), F.round(middle["latitude"], 8).alias("mid_lat"), F.round(middle["longitude"], 8).alias("mid_lon"))
+
+
+def brand_scores(spark, d):
+    """How well each gym record stands for its brand."""
+    g = read(spark, d, "gyms_master").select("record_id", "query", "name", "types").distinct()
+    n, q = lists.plain_text(F.col("name")), lists.plain_text(F.col("query"))
+    matches = (q != "") & X.contains_phrase(n, q)
+    return g.select("record_id", lists.canonical_score(F.col("name"), F.col("query"), F.col("types"), matches, F.contains(n, F.lit("annex"))).alias("score"))
+
+
 def dense_points(spark, d):
     """Points equal to seven decimals once: each record's position, a copy of it and one a little apart."""
     g = read(spark, d, "locations").where("latitude IS NOT NULL AND longitude IS NOT NULL").select("location_id", "latitude", "longitude").distinct()
-    from ambitus.functions.shapes import distinct_points
-
     pts = F.array(coord(F.col("latitude"), F.col("longitude")), coord(F.col("latitude") + 1e-9, F.col("longitude")), coord(F.col("latitude") + 1e-6, F.col("longitude")))
-    return g.select("location_id", F.size(distinct_points(pts)).alias("n"))
+    return g.select("location_id", F.size(shapes.distinct_points(pts)).alias("n"))
 
 
 def plain_names(spark, d):
@@ -310,7 +325,7 @@ def distinct_by_position(spark, d):
 QUERIES = {f.__name__: f for f in (
     line_class, point_class, feature_names, park_keep, placemark_records, feature_kinds, assembled_features, request_roundtrip, feature_faults, category_bounds, tile_boxes, tile_of,
     rejected_records, list_audit, clean_reasons, clean_summary, address_keys, official_list, way_filter, source_filter, import_reasons, brand_routes, aggregate_import, trace_hits, service_records,
-    styled_kml, result_kml, dense_points, plain_names, distinct_by_position,
+    styled_kml, result_kml, feature_distances, brand_scores, dense_points, plain_names, distinct_by_position,
 )}
 
 _M = "m AS (SELECT p_partkey, p_name, p_brand, " + ", ".join(f"{v} AS {k}" for k, v in _fields(False).items()) + " FROM part)"
@@ -401,6 +416,14 @@ FROM (SELECT DISTINCT record_id, query, name, formattedAddress, placeId, latitud
     "service_records": "SELECT category, CAST(location_id AS VARCHAR) AS placeId, coalesce(label, '') AS name, latitude, longitude, category AS types FROM (SELECT DISTINCT * FROM locations) WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
     "styled_kml": _PARK + f", {_TRAIL} SELECT 'Parks' AS folder, count(*) AS n, count(*) AS n_names FROM parks WHERE p_partkey % 3 = 0 UNION ALL SELECT 'Trails', count(*), count(*) FROM trails",
     "result_kml": f"WITH {_ASM} SELECT 'Source Features/' || category AS folder, count(*) AS n FROM a WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY ALL",
+    "feature_distances": _PARK + f""", {_TRAIL}, k AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN 'polygon' WHEN p_partkey % 3 = 1 THEN 'linestring' ELSE 'point' END kind, *, 364000 * cos(radians(33.8)) fx FROM b
+ WHERE p_partkey % 3 = 2 OR p_partkey IN (SELECT p_partkey FROM trails) OR (p_partkey % 3 = 0 AND p_partkey IN (SELECT p_partkey FROM parks))),
+t AS (SELECT *, greatest(0, least(1, ((-w * fx) * (w * fx) + (h / 2 * 364000) * (h * 364000)) / (pow(w * fx, 2) + pow(h * 364000, 2)))) t FROM k)
+SELECT CAST(p_partkey AS INT) AS placemark_index, kind, round(CASE kind WHEN 'polygon' THEN w * fx WHEN 'point' THEN sqrt(pow(w * fx, 2) + pow(h / 2 * 364000, 2)) ELSE sqrt(pow(-w * fx - t * w * fx, 2) + pow(h / 2 * 364000 - t * h * 364000, 2)) END, 2) AS feet,
+ CASE WHEN kind = 'polygon' THEN round(la + h / 2, 8) END AS mid_lat, CASE WHEN kind = 'polygon' THEN round(lo + w / 2, 8) END AS mid_lon FROM t""",
+    "brand_scores": f"""WITH g AS (SELECT DISTINCT record_id, query, name, types FROM gyms_master), p AS (SELECT *, {_PLAIN('name')} n, {_PLAIN('query')} q FROM g)
+SELECT record_id, CAST(CASE WHEN q <> '' AND contains(' ' || n || ' ', ' ' || q || ' ') THEN 100 ELSE 0 END + CASE WHEN NOT contains(n, 'annex') THEN 100 ELSE 0 END + CASE WHEN list_has_any(coalesce(types, []), ['grocery_store', 'supermarket', 'gym']) THEN 25 ELSE 0 END
+ + CASE WHEN contains(n, 'super market') THEN 10 ELSE 0 END + CASE WHEN n = q THEN 10 ELSE 0 END AS INT) AS score FROM p""",
     "dense_points": "SELECT location_id, 1 + CAST(round_even(latitude, 7) <> round_even(latitude + 1e-9, 7) AS INT) + CAST(round_even(latitude + 1e-6, 7) NOT IN (round_even(latitude, 7), round_even(latitude + 1e-9, 7)) AS INT) AS n FROM (SELECT DISTINCT location_id, latitude, longitude FROM locations WHERE latitude IS NOT NULL AND longitude IS NOT NULL)",
     "plain_names": rf"""SELECT record_id, {_NZ('name')} AS normal, CASE WHEN trim(name) <> '' AND lower(trim(name)) <> 'null' THEN {_NZ('name')} END AS meta, {_PLAIN('name')} AS plain,
  CASE WHEN coalesce(trim(name), '') = '' THEN 'diagnostic' ELSE regexp_replace(regexp_replace(trim(name), '[<>:"/\\|?*\x00-\x1f]', '-', 'g'), '\s+', '-', 'g') END AS label FROM (SELECT DISTINCT record_id, name FROM gyms_master)""",

@@ -162,6 +162,14 @@ def test_buffer_of_a_polygon_with_a_hole_same_as_grid():
         assert len(got) == 1 and len(got[0][1]) == (1 if len(rings) == 2 and r < 50 else 0) and abs(area - want) < 0.01 * want
 
 
+def test_repaired_rings():
+    bow = np.array([[0, 0], [100, 100], [100, 0], [0, 100]], float)
+    made = polygons.repaired([bow])
+    assert len(made) == 2 and all(not h for _, h in made) and abs(sum(polygons.signed_area(r) for r, _ in made) - 5000) < 1
+    flat = np.array([[0, 0], [1, 1], [0, 0]], float)
+    assert polygons.repaired([flat])[0][0] is flat
+
+
 def test_overlay_of_polygons_and_lines(spark):
     c = lambda y, x: {"latitude": 33.75 + y, "longitude": -84.39 + x}
     park = [[c(0, 0), c(0, 0.02), c(0.02, 0.02), c(0.02, 0)], [c(0.008, 0.008), c(0.008, 0.012), c(0.012, 0.012), c(0.012, 0.008)]]
