@@ -246,23 +246,29 @@ def _take_place(segments: list[list[str]], gaz: Gazetteer, out: Address) -> None
     known = gaz.zips.get(out.zip)
     hits = []
     for k, seg in enumerate(segments):
+        taken = [0]
+        for t in seg:
+            taken.append(taken[-1] + (t == "\0"))
+        left = len(seg) - taken[-1]
         for n in range(min(gaz.longest, len(seg)), 0, -1):
             for i in range(len(seg) - n + 1):
-                words = " ".join(seg[i : i + n])
-                if "\0" in words:
+                if taken[i + n] != taken[i]:
                     continue
-                whole = all(x == "\0" for x in seg[:i] + seg[i + n :])
+                words = seg[i] if n == 1 else " ".join(seg[i : i + n])
+                exact = words in gaz.towns
+                whole = left == n
                 edge = i == 0 or i + n == len(seg) or seg[i - 1] == "\0" or seg[i + n] == "\0"
-                name = words if words in gaz.towns else None
-                if name is None and (whole or edge) and (squeezed := words.replace(" ", "")) and n <= 2:
+                name = words
+                if not exact:
+                    if n > 2 or not edge:
+                        continue
                     name = gaz.near(words)
-                    if name is None and n == 2 and squeezed in gaz.towns:
-                        name = squeezed
-                    if name and not whole and not ((known and known[0] == name) or (out.region and out.region in gaz.towns[name])):
-                        name = None
-                if name:
-                    score = (words == name, (known is not None and known[0] == name) + (out.region in gaz.towns[name] if out.region else 0), whole, edge, n, k, i)
-                    hits.append((score, k, i, n, name))
+                    if name is None and n == 2 and words.replace(" ", "") in gaz.towns:
+                        name = words.replace(" ", "")
+                    if name is None or (not whole and not ((known and known[0] == name) or (out.region and out.region in gaz.towns[name]))):
+                        continue
+                score = (exact, (known is not None and known[0] == name) + (out.region in gaz.towns[name] if out.region else 0), whole, edge, n, k, i)
+                hits.append((score, k, i, n, name))
     if hits:
         _, k, i, n, out.town = max(hits)
         segments[k][i : i + n] = ["\0"] * n

@@ -71,6 +71,14 @@ def p2_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _links(spark, sf_dir).select(F.col("ida").alias("record_id_a"), F.col("idb").alias("record_id_b"), F.round("confidence", 6).alias("confidence"))
 
 
+def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each linked record once: its gym (the smallest id that links lead to), its number of links and their greatest confidence."""
+    links = cut(_links(spark, sf_dir))
+    ends = links.select(F.col("ida").alias("id"), "confidence").unionByName(links.select(F.col("idb").alias("id"), "confidence"))
+    own = ends.groupBy("id").agg(F.count("*").alias("n_links"), F.round(F.max("confidence"), 6).alias("confidence"))
+    return linkage.groups(links).join(own, "id").select(F.col("id").alias("record_id"), F.col("component").alias("gym"), "n_links", "confidence")
+
+
 def _gyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gyms_master with the gym each record belongs to and what a survivor is judged on."""
     placed, keys = _placed(spark, sf_dir, ("master",))
@@ -133,6 +141,12 @@ def p7_leaked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(_leaks(spark, sf_dir), "item_id", "doc_id")
 
 
+def p7_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document in which something leaked: how many items, the longest run in words and its first word."""
+    longest = F.max_by("doc_word", F.struct("n_words", -F.col("doc_word")))
+    return _leaks(spark, sf_dir).groupBy("doc_id").agg(F.count_distinct("item_id").alias("n_items"), F.max("n_words").alias("longest"), longest.alias("at_word"))
+
+
 def p7_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the documents that stay after the leaked ones are removed."""
     return leakage.remove_leaked(read(spark, sf_dir, "documents"), _leaks(spark, sf_dir), "doc_id").select("doc_id")
@@ -159,9 +173,14 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.groupBy("class_id").agg(F.count("*").alias("n_docs"), F.count_distinct("member").alias("n_strings"))
 
 
+def p9_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a digest of its one form: that of the first of the documents that look like it."""
+    return lookalike.canonical_text(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text").select("doc_id", F.md5("canonical_text").alias("form_md5"))
+
+
 QUERIES = {
-    "p1_found": p1_found, "p1_address_keys": p1_address_keys, "p2_found": p2_found, "p2_links": p2_links, "p4_found": p4_found, "p4_merged": p4_merged, "p6_found": p6_found, "p6_misses": p6_misses, "p7_found": p7_found, "p7_leaked_items": p7_leaked_items, "p7_clean_documents": p7_clean_documents,
-    "p8_mix_rows": p8_mix_rows, "p8_mix_shares": p8_mix_shares, "p9_found": p9_found, "p9_classes": p9_classes,
+    "p1_found": p1_found, "p1_address_keys": p1_address_keys, "p2_found": p2_found, "p2_links": p2_links, "p2_records": p2_records, "p4_found": p4_found, "p4_merged": p4_merged, "p6_found": p6_found, "p6_misses": p6_misses, "p7_found": p7_found, "p7_leaked_items": p7_leaked_items, "p7_documents": p7_documents, "p7_clean_documents": p7_clean_documents,
+    "p8_mix_rows": p8_mix_rows, "p8_mix_shares": p8_mix_shares, "p9_found": p9_found, "p9_classes": p9_classes, "p9_canonical": p9_canonical,
 }
 
 
@@ -169,13 +188,13 @@ def _invisible_sql() -> str:
     return re.sub(r"\\u([0-9A-Fa-f]{4})", r"\\x{\1}", lookalike.INVISIBLE)
 
 
-def _plain_sql(col: str) -> str:
+def _plain_sql(col: str, composed: bool = True) -> str:
     m = lookalike.plain_map()
     q = lambda s: "'" + s.replace("'", "''") + "'"
     out = f"translate(regexp_replace({col}, '{_invisible_sql()}', '', 'g'), {q(''.join(m))}, {q(''.join(m.values()))})"
     for a, b in lookalike.LIGATURES.items():
         out = f"replace({out}, '{a}', '{b}')"
-    return f"nfc_normalize({out})"
+    return f"nfc_normalize({out})" if composed else out
 
 
 _P9 = f"""WITH t AS (SELECT DISTINCT doc_id, text, {_plain_sql("text")} AS form FROM documents WHERE text IS NOT NULL),
@@ -190,6 +209,8 @@ f AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))"""
 SQL = {
     "p9_found": _P9 + " SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM v a JOIN v b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text",
     "p9_classes": _P9 + " SELECT min(doc_id) AS class_id, count(*) AS n_docs, count(DISTINCT text) AS n_strings FROM v GROUP BY form HAVING count(DISTINCT text) > 1",
+    "p9_canonical": f"""WITH t AS (SELECT doc_id, text, {_plain_sql("text", False)} AS plain, {_plain_sql("text")} AS form FROM documents)
+SELECT doc_id, md5(CASE WHEN regexp_matches(form, '[^\\s\\p{{C}}]') THEN first_value(plain) OVER (PARTITION BY form ORDER BY doc_id) ELSE plain END) AS form_md5 FROM t""",
     "p7_found": _P7 + " SELECT doc_id, item_id FROM f",
     "p7_clean_documents": _P7 + " SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM f)",
 }

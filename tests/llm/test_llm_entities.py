@@ -1,11 +1,13 @@
 import json
+import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ambitus.llm import addresses, canonical, linkage, queries, survivor
 from ambitus.llm.address_parse import Gazetteer, deletes, parse, within_one
-from ambitus.llm.canonical_match import ReferenceIndex, distance
+from ambitus.llm.canonical_match import ReferenceIndex, allowed, distance
 from ambitus.llm.label_model import LabelModel
 
 GAZ = Gazetteer({"marby": ("hd",), "lake torden": ("wb",)}, {"10000": ("marby", "hd"), "10072": ("lake torden", "wb")}, {"hd": "hd", "wb": "wb", "harding": "hd"}, frozenset({"norvale"}))
@@ -87,6 +89,38 @@ def test_long_lists_give_the_same_answers(spark):
     assert short == long and len(short) > 300
 
 
+class EveryForm(ReferenceIndex):
+    """Without the deletion dictionary: each value is compared with every form of every entry."""
+
+    def _search(self, text, kinds):
+        out = {}
+        for f in self.forms:
+            if f.kind in kinds and (f.kind != "initials" or f.text == text):
+                bound = allowed(min(text, f.text, key=len))
+                x = distance(text, f.text, bound)
+                if x <= bound and (f.entry not in out or (x + f.cost, f.kind) < out[f.entry]):
+                    out[f.entry] = (x + f.cost, f.kind)
+        return out
+
+
+def test_dictionary_same_as_every_form():
+    """The values of the test table, and values with two typing errors, give what a comparison with the whole list gives."""
+    sf = "/root/testdata/sf0.01"
+    brands = pd.read_parquet(f"{sf}/brand_list.parquet")
+    entries = dict(zip(brands["brand_id"], brands["brand"]))
+    quick, slow = ReferenceIndex(entries), EveryForm(entries)
+    rng = random.Random(3)
+    values = list(pd.read_parquet(f"{sf}/gyms_master.parquet")["query"].dropna().unique())
+    for b in brands["brand"][:40]:
+        w = list(b)
+        for _ in range(2):
+            k = rng.randrange(len(w) - 1)
+            w[k : k + 2] = rng.choice([[w[k + 1], w[k]], [w[k]], [w[k], "x", w[k + 1]], ["q", w[k + 1]]])
+        values.append("".join(w))
+    differ = [v for v in values if quick.explain(v) != slow.explain(v)]
+    assert len(values) > 150 and not differ
+
+
 def test_label_model_learns_accuracies():
     rng = np.random.default_rng(5)
     y = rng.random(20_000) < 0.6
