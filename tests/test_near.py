@@ -2,9 +2,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ambitus.functions import geo
+from ambitus.functions import geo, regions
+from ambitus.operators import near
 from ambitus.operators.near import points_in_regions, points_near_points
 from ambitus.plans import place_queries
 
@@ -112,6 +114,50 @@ def test_places_in_parks_same_as_brute_force(spark):
     assert any(a != b for a, b in got)
 
 
+def test_region_cells_are_not_broadcast(spark):
+    """They are many times the bytes of the regions that Spark goes by."""
+    plan = place_queries.QUERIES["places_in_parks"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_regions_repeated_ids_positions_and_shapes(spark, monkeypatch):
+    """Ids with several positions or shapes, without an id, and more ids of one position or shape than a row holds."""
+    monkeypatch.setattr(near, "IDS_AT_ONCE", 2)
+    pts = [(1, 1.0, 1.0), (1, 1.5, 1.5), (1, 9.0, 9.0), (2, 1.0, 1.0), (3, 1.0, 1.0), (4, 1.0, 1.0), (5, 9.0, 9.0), (None, 1.0, 1.0), (2, 1.0, 1.0)]
+    box = lambda y, x, w: [[{"latitude": y + a, "longitude": x + b} for a, b in ((0.0, 0.0), (0.0, w), (w, w), (w, 0.0))]]
+    boxes = [("a", 0.5, 0.5, 2.0), ("b", 0.5, 0.5, 2.0), ("c", 0.5, 0.5, 2.0), ("d", 0.5, 0.5, 2.0), ("d", 0.9, 0.9, 0.3), ("d", 8.5, 8.5, 1.0), (None, 8.0, 8.0, 2.0)]
+    p = spark.createDataFrame(pts, "id int, latitude double, longitude double")
+    a = spark.createDataFrame([(k, box(*x)) for k, *x in boxes] + [("bad", box(float("nan"), 0.0, 2.0)), ("gap", [[{"latitude": None, "longitude": 1.0}] * 3])], "area string, rings array<array<struct<latitude:double,longitude:double>>>")
+    want = {(i, k) for i, y, x in pts for k, s, w, d in boxes if s < y < s + d and w < x < w + d}
+    for m, n in ((p, a), (p, a.where("area < 'd'")), (p.where("id > 1"), a), (p.where("id > 1"), a.where("area < 'd'"))):
+        got = [tuple(r) for r in points_in_regions(m, n, "id", "area", "rings").collect()]
+        ids, areas = {r[0] for r in m.collect()}, {r[0] for r in n.collect()}
+        assert len(got) == len(set(got)) and set(got) == {(i, k) for i, k in want if i in ids and k in areas} and got
+
+
+def test_cover_of_many_polygons_is_that_of_each():
+    """Polygons of all sizes at once, cut into parts: the cells of each are those it has alone, and hold its area."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(40):
+        y, x, w = rng.uniform(-60, 60), rng.uniform(-150, 150), 10 ** rng.uniform(-5, 1)
+        rows.append([[{"latitude": y + w * math.sin(t) * rng.uniform(0.5, 1), "longitude": x + w * math.cos(t)} for t in np.linspace(0, 6, rng.choice([3, 5, 60]))] for _ in range(1 + k % 2)])
+    ring = pa.list_(pa.list_(pa.struct([("latitude", pa.float64()), ("longitude", pa.float64())])))
+
+    def cells(own):
+        batch = pa.RecordBatch.from_arrays([pa.array([[k] for k, _ in own]), pa.array([r for _, r in own], ring), pa.array([3 + k % 9 for k, _ in own], pa.int32())], names=["_ids", "_rings", "_coarse"])
+        return sorted((r["_ids"][0], r["_level"], r["_cell"], r["_inside"], r["_odd"], tuple(r["_edges"] or ())) for b in regions.covers(3)([batch]) for r in b.to_pylist())
+
+    old = regions.EDGES_AT_ONCE
+    try:
+        regions.EDGES_AT_ONCE = 50
+        whole = cells(list(enumerate(rows)))
+    finally:
+        regions.EDGES_AT_ONCE = old
+    assert whole == cells(list(enumerate(rows))) == sorted(c for own in enumerate(rows) for c in cells([own]))
+    assert len({c[:3] for c in whole}) == len(whole) and {c[0] for c in whole} == set(range(40)) and any(c[3] for c in whole)
+
+
 def test_positions(spark):
     rows = spark.createDataFrame([(0.0, 0.0), (0.0, 5.0), (90.0, 180.0), (-90.1, 0.0), (None, 1.0)], "latitude double, longitude double")
     assert [r[0] for r in rows.select(geo.is_position("latitude", "longitude")).collect()] == [False, True, True, False, False]
