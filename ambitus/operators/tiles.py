@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from ambitus.functions.geo import MILES_PER_DEGREE
 
+#: Tiles that are broadcast at most, about 10 MB.
+TILES_TO_BROADCAST = 100_000
+
+
 def _steps(first: float, last: float, step: float) -> list[tuple[float, float]]:
     """Consecutive intervals from first to last by repeated addition (a negative step goes down), the last one clamped."""
     out, at = [], first
@@ -80,12 +84,14 @@ def assign_boxes(features: DataFrame, grid: DataFrame, north: float, west: float
 
     features: key, category, radius, south, north, west, east (their own box).  The pad is radius / 69 degrees on both axes;
     true_width: on the east-west axis divided by the cosine of the latitude that is farthest from the equator, so that every
-    tile within the radius is named.  Regular tiles: a feature names its tiles by arithmetic, and an exact test follows."""
+    tile within the radius is named.  Regular tiles: a feature names its tiles by arithmetic, and an exact test follows.  The named
+    tiles are many more bytes than the features, which Spark cannot foresee, so that they are never broadcast: the grid is, up to
+    TILES_TO_BROADCAST tiles, and a larger one is joined by sorting."""
     pad = F.col(radius) / MILES_PER_DEGREE
     far = F.greatest(F.abs(F.col("south")), F.abs(F.col("north"))) + pad
     wide = pad / F.greatest(F.cos(F.radians(F.least(far, F.lit(90.0)))), F.lit(1e-3)) if true_width else pad
     f = features.where(F.col("south").isNotNull() & F.col("west").isNotNull()).select(F.col(key).alias("_key"), F.lower(F.trim("category")).alias("category_key"), (F.col("south") - pad).alias("_s"), (F.col("north") + pad).alias("_n"), (F.col("west") - wide).alias("_w"), (F.col("east") + wide).alias("_e"))
-    size = grid.agg(F.max("row").alias("rows"), F.max("col").alias("cols")).first()
+    size = grid.agg(F.max("row").alias("rows"), F.max("col").alias("cols"), F.count("*").alias("n")).first()
     rows, cols = size["rows"] or 0, size["cols"] or 0
 
     def span(lo, hi, last: int):
@@ -93,7 +99,7 @@ def assign_boxes(features: DataFrame, grid: DataFrame, north: float, west: float
         return F.when(lo <= hi, F.sequence(lo, F.greatest(lo, hi)))
 
     f = f.withColumn("row", F.explode(span((north - F.col("_n")) / lat_step, (north - F.col("_s")) / lat_step, rows))).withColumn("col", F.explode(span((F.col("_w") - west) / lon_step, (F.col("_e") - west) / lon_step, cols)))
-    hit = f.join(grid, ["row", "col"])
+    hit = f.join(grid.hint("broadcast" if size["n"] <= TILES_TO_BROADCAST else "merge"), ["row", "col"])
     inside = (F.col("_n") >= F.col("south")) & (F.col("_s") <= F.col("north")) & (F.col("_e") >= F.col("west")) & (F.col("_w") <= F.col("east"))
     return hit.where(inside).select("name", "row", "col", F.col("_key").alias(key), "category_key")
 

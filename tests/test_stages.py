@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ambitus.functions import polygons, projection
 from ambitus.functions.geo import haversine
 from ambitus.operators import diagnose, extract, filters, lists, overlay, places, requests, tiles
+from ambitus.plans import stage_queries
 from ambitus.sinks import files, kml as kml_sink
 from ambitus.sources import exports, kml, service
 
@@ -303,3 +304,15 @@ def test_places_service(spark, tmp_path):
     for status in (503, 404):
         with pytest.raises(OSError):
             service.ask(lambda _, s=status: (s, ""), search, sleep=lambda _: None)
+
+
+def test_tiles_of_boxes_are_not_broadcast(spark, monkeypatch):
+    """They are many times the bytes of the boxes that Spark goes by: the grid is broadcast if it is small, else neither side."""
+    boxes = stage_queries.QUERIES["tile_boxes"]
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    small = boxes(spark, "/root/testdata/sf0.01")
+    assert "BuildRight" in plan(small) and "BuildLeft" not in plan(small)
+    monkeypatch.setattr(tiles, "TILES_TO_BROADCAST", 19)  # the grid has 20
+    large = boxes(spark, "/root/testdata/sf0.01")
+    assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect())) and small.count()
