@@ -78,16 +78,18 @@ def _covers(refine: int):
     return run
 
 
-def _several(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
-    """The rows whose key occurs once, and those of other keys (None: there are none)."""
-    if rows.groupBy(key).count().where("count > 1").isEmpty():
+def _several(rows: DataFrame, key: str, several: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose key occurs once, and those of other keys (None: ``several`` is empty, so that there are none)."""
+    if several.isEmpty():
         return rows, None
     n = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
     return n.where("_n = 1").drop("_n"), n.where("_n > 1").drop("_n")
 
 
-def _grouped(rows: DataFrame, key: str, by: list[str]) -> DataFrame:
-    """(by, _chunk, _ids): the keys of equal rows together, at most IDS_AT_ONCE of them, spread over the tasks anew."""
+def _grouped(rows: DataFrame, key: str, by: list[str], together: bool) -> DataFrame:
+    """(by, _ids): the keys of equal rows together, at most IDS_AT_ONCE of them, spread over the tasks anew; or each alone."""
+    if not together:
+        return rows.select(*by, F.array(F.struct(key)).alias("_ids"))
     n = F.row_number().over(Window.partitionBy(*by).orderBy(key))
     held = rows.withColumn("_chunk", F.floor((n - 1) / IDS_AT_ONCE)).groupBy(*by, "_chunk").agg(F.collect_list(F.struct(key)).alias("_ids"))  # in structs, for a list drops nulls
     return held.repartition(*by, "_chunk")
@@ -102,27 +104,32 @@ def points_in_regions(points: DataFrame, areas: DataFrame, point_id: str, area_i
     without a ring contains nothing.  Which side a point exactly on an edge falls on is that of the even-odd test.  A cell on the
     edge of a region carries only the edges that touch it, so a region of very many vertices is spread over its cells.
 
-    Equal positions, and equal rings, are searched once and stand for all their ids.  Only ids with several positions or several
-    shapes can give a pair twice; their pairs alone are made distinct.  The cells of the regions are many more bytes than the
-    regions, which Spark cannot foresee, so that neither side is ever broadcast.
+    Equal positions (where they are many), and equal rings, are searched once and stand for all their ids.  Only ids with several
+    positions or several shapes can give a pair twice; their pairs alone are made distinct.  The cells of the regions are many more
+    bytes than the regions, which Spark cannot foresee, so that neither side is ever broadcast.
     """
-    a = points.where(geo.is_position(lat, lon)).select(F.col(point_id).alias("_p"), F.col(lat).cast("double").alias("_plat"), F.col(lon).cast("double").alias("_plon")).distinct()
+    every = points.where(geo.is_position(lat, lon)).select(F.col(point_id).alias("_p"), F.col(lat).cast("double").alias("_plat"), F.col(lon).cast("double").alias("_plon"))
+    at, a = F.struct("_plat", "_plon"), every.distinct()
+    n = every.agg(F.approx_count_distinct("_p").alias("ids"), F.approx_count_distinct(at).alias("positions")).first()
+    together = n["ids"] > 2 * n["positions"]  # else there is little to gain; the pairs are the same
     shape = F.filter(F.transform(F.col(rings), lambda r: F.transform(r, lambda c: F.struct(c["latitude"].cast("double").alias("latitude"), c["longitude"].cast("double").alias("longitude")))), lambda r: F.size(r) >= 3)
     b = areas.select(F.col(area_id).alias("_a"), shape.alias("_rings")).where(F.size("_rings") > 0).dropDuplicates(["_a", "_rings"])
     starts = [r[0] for r in b.select(regions.level_column(F.col("_rings"), refine)).distinct().collect()]  # at most MAX_LEVEL + 1, whatever the regions
-    levels = sorted({x for start in starts or [0] for x in range(start, start + refine + 1)})
+    # a region is not wider than a cell of its coarsest level, so that none of these lies inside it, unless it is wider than the world
+    levels = sorted({x for start in starts or [0] for x in range(start + (start > 0 and refine > 0), start + refine + 1)})
     cells = "_level int, _cell long, _inside boolean, _edges array<double>, _odd boolean, _top double, _right double"
 
     def pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-        b = _grouped(b, "_a", ["_rings"]).select("_ids", "_rings", regions.level_column(F.col("_rings"), refine).alias("_coarse"))
+        b = _grouped(b, "_a", ["_rings"], True).select("_ids", "_rings", regions.level_column(F.col("_rings"), refine).alias("_coarse"))
         types = {f.name: f for f in T.StructType.fromDDL(cells).fields} | {"_ids": b.schema["_ids"]}
         covers = b.mapInArrow(regions.covers(refine), T.StructType([types[c] for c in ("_level", "_cell", "_inside", "_ids", "_edges", "_odd", "_top", "_right")]))
-        held = _grouped(a, "_p", ["_plat", "_plon"]).select("_plat", "_plon", F.col("_ids").alias("_points"), F.explode(F.array(*[F.lit(x) for x in levels])).alias("_level"))
+        held = _grouped(a, "_p", ["_plat", "_plon"], together).select("_plat", "_plon", F.col("_ids").alias("_points"), F.explode(F.array(*[F.lit(x) for x in levels])).alias("_level"))
         held = held.withColumn("_cell", regions.cell_column(F.col("_plat"), F.col("_plon"), F.col("_level")))
         hit = held.join(covers.hint("merge"), ["_level", "_cell"]).where(F.col("_inside") | regions.inside_cell(F.col("_plat"), F.col("_plon"), F.col("_edges"), F.col("_odd"), F.col("_top"), F.col("_right")))
         out = hit.select("_ids", F.explode("_points").alias("_point")).select("_point", F.explode("_ids").alias("_area"))
         return out.select(F.col("_point._p").alias(point_id), F.col("_area._a").alias(area_id))
 
-    (one, more), (whole, parts) = _several(a, "_p"), _several(b, "_a")
+    one, more = _several(a, "_p", every.groupBy("_p").agg(F.min(at).alias("x"), F.max(at).alias("y")).where("x <> y"))
+    whole, parts = _several(b, "_a", b.groupBy("_a").count().where("count > 1"))
     rest = ([pairs(more, b)] if more is not None else []) + ([pairs(one, parts)] if parts is not None else [])
     return reduce(DataFrame.unionByName, [pairs(one, whole)] + ([reduce(DataFrame.unionByName, rest).distinct()] if rest else []))

@@ -123,7 +123,7 @@ def test_region_cells_are_not_broadcast(spark):
 def test_regions_repeated_ids_positions_and_shapes(spark, monkeypatch):
     """Ids with several positions or shapes, without an id, and more ids of one position or shape than a row holds."""
     monkeypatch.setattr(near, "IDS_AT_ONCE", 2)
-    pts = [(1, 1.0, 1.0), (1, 1.5, 1.5), (1, 9.0, 9.0), (2, 1.0, 1.0), (3, 1.0, 1.0), (4, 1.0, 1.0), (5, 9.0, 9.0), (None, 1.0, 1.0), (2, 1.0, 1.0)]
+    pts = [(1, 1.0, 1.0), (1, 1.5, 1.5), (1, 9.0, 9.0), (2, 1.0, 1.0), (3, 1.0, 1.0), (4, 1.0, 1.0), (6, 1.0, 1.0), (7, 1.0, 1.0), (8, 1.0, 1.0), (5, 9.0, 9.0), (None, 1.0, 1.0), (2, 1.0, 1.0)]
     box = lambda y, x, w: [[{"latitude": y + a, "longitude": x + b} for a, b in ((0.0, 0.0), (0.0, w), (w, w), (w, 0.0))]]
     boxes = [("a", 0.5, 0.5, 2.0), ("b", 0.5, 0.5, 2.0), ("c", 0.5, 0.5, 2.0), ("d", 0.5, 0.5, 2.0), ("d", 0.9, 0.9, 0.3), ("d", 8.5, 8.5, 1.0), (None, 8.0, 8.0, 2.0)]
     p = spark.createDataFrame(pts, "id int, latitude double, longitude double")
